@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 A pre-token's bytes form a linked list. Each merge rank has a bucket of list positions whose pair it would
-merge; a three-level bitmap over the ranks marks the buckets in use, and find-first-set on each level gives
-the lowest rank in a constant number of steps. Entries whose pair has changed meanwhile are skipped when
+merge; a two-level bitmap over the ranks marks the buckets in use, and find-first-set on each level gives the
+lowest rank in a constant number of steps. Entries whose pair has changed meanwhile are skipped when
 they come up. A pre-token of n bytes costs O(n log n) at worst, however long it is.
 
 Defined cases: a null text counts as empty; an empty text has no ids and decodes to no bytes; equal rows give
@@ -27,54 +27,9 @@ from .base import with_columns
 REMEMBERED_CHARS = 64
 #: Remembered pre-tokens in each of two generations; the older is dropped when the younger is full.
 GENERATION = 1 << 18
-SHIFT, MASK = 6, 63
-
-
-class RankQueue:
-    """Least rank first, least position first within a rank."""
-
-    def __init__(self, ranks: int):
-        self.buckets: dict[int, list[int]] = {}
-        n, self.levels = ranks, []
-        while True:
-            n = (n + MASK) >> SHIFT
-            self.levels.append([0] * n)
-            if n <= 1:
-                break
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        for level in self.levels:
-            word = rank >> SHIFT
-            before = level[word]
-            level[word] = before | 1 << (rank & MASK)
-            if before:
-                break
-            rank = word
-
-    def pop(self) -> tuple[int, int] | None:
-        at = 0
-        for level in reversed(self.levels):
-            bits = level[at]
-            if not bits:
-                return None
-            at = at << SHIFT | (bits & -bits).bit_length() - 1
-        bucket = self.buckets[at]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[at]
-            rank = at
-            for level in self.levels:
-                word = rank >> SHIFT
-                level[word] &= ~(1 << (rank & MASK))
-                if level[word]:
-                    break
-                rank = word
-        return at, position
+#: Bits of a word of the lower bitmap level.
+SHIFT, MASK = 8, 255
+BIT = [1 << k for k in range(MASK + 1)]
 
 
 class BytePairCoder:
@@ -86,38 +41,63 @@ class BytePairCoder:
         for word, rank in ranks.items():
             self.words[rank] = word
         self.split = regex.compile(pattern).findall
-        self.queue = RankQueue(max(1, len(self.words)))
+        self.low = [0] * ((len(self.words) >> SHIFT) + 1)  # ranks in use, in words; empty between calls
         self.known = _Remembered(self)
 
     def encode_piece(self, piece: bytes) -> list[int]:
         ranks = self.ranks
         if (whole := ranks.get(piece)) is not None:
             return [whole]
-        n, get, queue = len(piece), ranks.get, self.queue
+        n, get, low = len(piece), ranks.get, self.low
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [-1] * n  # rank of the pair that begins here; -1: none, or the position is merged away
-        for i in range(n - 1):
-            if (rank := get(piece[i : i + 2])) is not None:
-                pair[i] = rank
-                queue.push(rank, i)
-        while (least := queue.pop()) is not None:
-            rank, i = least
+        pair = [get(piece[i : i + 2], -1) for i in range(n)]  # rank of the pair that begins here; -1: none, or merged away
+        pair[-1] = -1
+        top, buckets = 0, {}  # words in use; positions by rank, each a heap
+        fresh = list(enumerate(pair))
+        while True:
+            for i, rank in fresh:
+                if rank >= 0:
+                    if rank in buckets:
+                        heappush(buckets[rank], i)
+                    else:
+                        buckets[rank] = [i]
+                        word = rank >> SHIFT
+                        bits = low[word]
+                        if not bits:
+                            top |= 1 << word
+                        low[word] = bits | BIT[rank & MASK]
+            if not top:
+                break
+            word = (top & -top).bit_length() - 1
+            bits = low[word]
+            first = bits & -bits
+            rank = word << SHIFT | first.bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                low[word] = bits = bits ^ first
+                if not bits:
+                    top &= top - 1
             if pair[i] != rank:
+                fresh = ()
                 continue
             j = after[i]
             k = after[i] = after[j]
-            pair[j] = pair[i] = -1
+            pair[j] = -1
             if k < n:
                 before[k] = i
-                if (rank := get(piece[i : after[k]])) is not None:
-                    pair[i] = rank
-                    queue.push(rank, i)
-            if (h := before[i]) >= 0:
-                if (rank := get(piece[h:k])) is not None:
-                    pair[h] = rank
-                    queue.push(rank, h)
-                else:
-                    pair[h] = -1
+                pair[i] = get(piece[i : after[k]], -1)
+            else:
+                pair[i] = -1
+            h = before[i]
+            if h >= 0:
+                pair[h] = get(piece[h:k], -1)
+                fresh = ((h, pair[h]), (i, pair[i]))
+            else:
+                fresh = ((i, pair[i]),)
         out, i = [], 0
         while i < n:
             out.append(ranks[piece[i : after[i]]])
