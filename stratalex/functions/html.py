@@ -7,13 +7,14 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .udfs import canonical
 
 # Tags whose content is dropped, and tags that break lines.
 SKIPPED = frozenset({"script", "style", "noscript"})
 BLOCKS = frozenset({"p", "blockquote", "pre", "article", "section", "aside", "header", "footer", "main", "nav", "summary", "details", "figure", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "br"})
-RESULT = "text string, canonical string, title string, description string, links array<string>"
+RESULT = T.StructType([*[T.StructField(n, T.StringType()) for n in ("text", "canonical", "title", "description")], T.StructField("links", T.ArrayType(T.StringType()))])
 
 
 def clean(text: str) -> str:

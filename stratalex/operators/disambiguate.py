@@ -188,7 +188,7 @@ def split(concepts: DataFrame, flagged: DataFrame, answers: DataFrame, policy: D
     names = F.array_sort(F.array_distinct(F.filter(F.transform(F.array_append("names", F.col("sense.label")), tx.squeeze_ends), lambda n: n != "")))
     support = F.struct(F.get("r", F.col("k")).alias("records"), F.get("i", F.col("k")).alias("institutions"), F.get("c", F.col("k")).alias("count"))
     made = {"id": new_id, "ord": F.col("first_ord"), "level": F.col("level"), "canonical_label": tx.sense_label(F.col("canonical_label"), F.col("sense.label")), "parents": F.get("mapped", F.col("k")), "aliases": names, "support": support}
-    fresh = each.select(*[made.get(c, F.lit(None)).cast(concepts.schema[c].dataType).alias(c) for c in concepts.columns])
+    fresh = each.select(*[made.get(c, F.lit(None)).cast(concepts.schema[c].dataType.simpleString()).alias(c) for c in concepts.columns])
     gone = done.select(F.explode("ids").alias("id"))
     out = concepts.join(gone, "id", "left_anti").select(*concepts.columns).unionByName(fresh)
     ops = wide.select(F.element_at("ids", 1).alias("source_id"), F.transform(F.sequence(F.lit(0), F.size("senses") - 1), lambda k: tx.split_id(F.element_at("ids", 1), k)).alias("new_ids"), F.lit("llm_disambiguation").alias("rule"), F.to_json(F.struct(F.col("sure").alias("confidence"), "senses")).alias("evidence"))

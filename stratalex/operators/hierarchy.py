@@ -76,7 +76,7 @@ def assemble(concepts: DataFrame, policy: HierarchyPolicy = HierarchyPolicy()) -
                         placeholders.add(k)
                         parents = none if k == 0 else F.array(F.lit(f"{policy.placeholder_prefix}level{k - 1}"))
                         made = {"id": F.lit(f"{policy.placeholder_prefix}level{k}"), "level": F.lit(k), "canonical_label": F.lit(f"Placeholder Level {k}"), "parents": parents}
-                        one = concepts.sparkSession.range(1).select(*[made.get(c, F.lit(None)).cast(concepts.schema[c].dataType).alias(c) for c in names])
+                        one = concepts.sparkSession.range(1).select(*[made.get(c, F.lit(None)).cast(concepts.schema[c].dataType.simpleString()).alias(c) for c in names])
                         inserted = more(inserted, one)
                 ready = ready.unionByName(attached)
         judged = ready.withColumn("problem", _problem(policy))
