@@ -26,7 +26,7 @@ from .base import with_columns
 #: Pre-tokens over this many characters are encoded each time; shorter ones are remembered.
 REMEMBERED_CHARS = 64
 #: Remembered pre-tokens in each of two generations; the older is dropped when the younger is full.
-GENERATION = 1 << 18
+GENERATION = 1 << 17
 #: Bits of a word of the lower bitmap level.
 SHIFT, MASK = 8, 255
 BIT = [1 << k for k in range(MASK + 1)]
@@ -151,3 +151,15 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", car
 def decode(df: DataFrame, vocabulary: str, pattern: str, ids: str = "token_ids", carry: list[str] | None = None) -> DataFrame:
     """Adds decoded (binary: the bytes of the ids; null ids count as none)."""
     return with_columns(df, [ids], lambda packed: [[coder(vocabulary, pattern).decode(x) for x in packed]], pa.schema([("decoded", pa.binary())]), carry)
+
+
+def round_trip(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """encode and decode in one pass: adds token_ids, n_tokens and decoded. One worker a task holds the remembered pre-tokens,
+    where two passes would need two."""
+
+    def run(texts: list) -> list[list]:
+        made = coder(vocabulary, pattern)
+        ids = [made.encode(t) for t in texts]
+        return [ids, [len(x) // 4 for x in ids], [made.decode(x) for x in ids]]
+
+    return with_columns(df, [text], run, pa.schema([("token_ids", pa.binary()), ("n_tokens", pa.int64()), ("decoded", pa.binary())]), carry)

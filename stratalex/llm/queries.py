@@ -18,9 +18,8 @@ ARRIVALS = 6
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, pattern, carry=["doc_id"])
-    decoded = bpe.decode(encoded, path, pattern)
-    return decoded.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = bpe.round_trip(table(spark, sf_dir, "documents"), path, pattern, carry=["doc_id"])
+    return coded.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
