@@ -29,6 +29,8 @@ SAMPLE, SHARDS = 1 << 16, 1 << 11
 #: Points that a shard should hold, and the fewest shards.
 SHARD_POINTS, LEAST_SHARDS = 1 << 15, 16
 LEAF = 192
+#: Comparisons made at once, and links held before they are folded into the forest.
+HELD = 1 << 19
 SEED = 42
 
 
@@ -169,16 +171,16 @@ def links(home: np.ndarray, visitors: np.ndarray, radius: int) -> tuple[np.ndarr
 
     for leaf, at in tree.reached(points, np.arange(len(points)), radius):
         own = order[np.searchsorted(ordered, leaf.points)]
-        step = max(1, (1 << 21) // len(leaf.points))
+        step = max(1, HELD // len(leaf.points))
         for k in range(0, len(at), step):
             some = at[k : k + step]
             q, p = np.nonzero(np.bitwise_count(points[some][:, None] ^ leaf.points[None, :]) <= radius)
             x, y = some[q], own[p]
-            keep = x != y
+            keep = root[x] != root[y]  # links inside a known component add nothing
             left.append(x[keep])
             right.append(y[keep])
             held += int(keep.sum())
-            if held > 1 << 22:
+            if held > HELD:
                 settle()
     settle()
     linked = np.flatnonzero(root != np.arange(len(points)))
