@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, licences, ngrams, pii, quality, rules, shards, simhash, tokenstore
 from .base import shared_folder, table
+from .oracles import ORACLES  # noqa: F401
 
 RANKS, TOKENIZER = "byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.json"
 #: Arrivals into which op10 divides the documents.
@@ -83,5 +84,3 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_decontaminate, op3_tokenstore, op4_pii, op5_simhash, op6_licences, op7_rules, op8_ngrams, op9_quality, op10_shards)}
-
-ORACLES: dict[str, str] = {}
