@@ -11,6 +11,8 @@ from ..sources.shared import cut
 def components(edges: DataFrame) -> DataFrame:
     """edges (a, b) to (node, root): every node of an edge with the least node of its component."""
     stars = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).distinct(), "edges")
+    if stars.isEmpty():
+        return stars
     before = None
     while True:
         both = stars.unionAll(stars.select(F.col("root").alias("node"), F.col("node").alias("root")))

@@ -156,4 +156,5 @@ def promote(decided: DataFrame) -> DataFrame:
     many = named.groupBy("base").agg(F.min("lineage").alias("lo"), F.max("lineage").alias("hi")).select("base", (F.col("lo") != F.col("hi")).alias("many"))
     id_ = F.when(F.col("many"), F.concat("base", F.lit("@"), F.left(F.sha1(F.col("lineage").cast("binary")), F.lit(8)))).otherwise(F.col("base"))
     places = F.to_json(F.struct(F.col("institutions").alias("institutions")))
-    return named.join(many, "base").select(id_.alias("id"), "level", F.col("label").alias("canonical_label"), "parents", "aliases", "support", "rationale", F.lit(None).cast("boolean").alias("validation_passed"), places.alias("validation_metadata"))
+    parents = F.transform("parents", lambda p: F.regexp_replace(p, "^l([0-3]):", "L$1:"))  # grouping lower-cases ids of parents
+    return named.join(many, "base").select(id_.alias("id"), "level", F.col("label").alias("canonical_label"), parents.alias("parents"), "aliases", "support", "rationale", F.lit(None).cast("boolean").alias("validation_passed"), places.alias("validation_metadata"))

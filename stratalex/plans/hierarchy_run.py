@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dedup, disambiguate, extract, frequency, hierarchy, validate, verify
+from ..operators import dedup, extract, frequency, hierarchy, validate, verify
 from ..policies import Policies
 from .phases import Context, Pipeline, finish, fixed_point
 from .runner import Runner
@@ -30,8 +30,9 @@ def level_phase(level: int, records: DataFrame, extractor: Runner, verifier: Run
     return run
 
 
-def run_pipeline(spark: SparkSession, folder: str, records: DataFrame, extractor: Runner, verifier: Runner, snapshots: DataFrame | None = None, policies: Policies | None = None, resume: bool = False) -> tuple[Context, dict]:
-    """Levels 0 to 3, consolidation, post-processing to a fixed point, assembly; gives the context and the manifest."""
+def run_pipeline(spark: SparkSession, folder: str, records: DataFrame, extractor: Runner | list[Runner], verifier: Runner, snapshots: DataFrame | None = None, policies: Policies | None = None, resume: bool = False) -> tuple[Context, dict]:
+    """Levels 0 to 3, consolidation, post-processing to a fixed point, assembly; gives the context and the manifest. The
+    extractor is one runner, or one for each level."""
     policies = policies or Policies()
     context = Context(spark, folder, policies)
 
@@ -61,9 +62,8 @@ def run_pipeline(spark: SparkSession, folder: str, records: DataFrame, extractor
         c.notes["orphans"] = built.orphans.count()
         return built.nodes
 
-    levels = [(f"level_{k}", level_phase(k, records, extractor, verifier)) for k in range(4)]
+    runners = extractor if isinstance(extractor, list) else [extractor] * 4
+    levels = [(f"level_{k}", level_phase(k, records, runners[k], verifier)) for k in range(4)]
     Pipeline([*levels, ("consolidate", consolidate), ("post_process", post), ("finalize", final)]).execute(context, resume=resume)
     return context, finish(context)
 
-
-__all__ = ["disambiguate", "level_phase", "run_pipeline"]

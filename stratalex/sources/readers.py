@@ -16,12 +16,14 @@ def json_lines(spark: SparkSession, paths: str | list[str], schema: str, pattern
     """(rows, quarantine) of JSON lines in files or, recursively, folders. Blank lines are skipped; rows carry source_file."""
     paths = [paths] if isinstance(paths, str) else paths
     full = T._parse_datatype_string(schema).add(CORRUPT, T.StringType())
-    reader = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", True)
+    reader = spark.read.option("recursiveFileLookup", True)
     if not all(p.endswith((".jsonl", ".jsonl.gz", ".json")) for p in paths):
         reader = reader.option("pathGlobFilter", pattern)
-    rows = reader.json(paths).select("*", F.col("_metadata.file_path").alias("source_file"))
-    bad = rows.where(F.col(CORRUPT).isNotNull()).select("source_file", F.col(CORRUPT).alias("raw"), F.lit("malformed-json").alias("error"))
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
+    lines = reader.text(paths).where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("source_file"))
+    rows = lines.select(F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"), "value", "source_file")
+    broken = F.col(f"r.{CORRUPT}").isNotNull() | F.col("r").isNull()
+    bad = rows.where(broken).select("source_file", F.col("value").alias("raw"), F.lit("malformed-json").alias("error"))
+    return rows.where(~broken).select("r.*", "source_file").drop(CORRUPT), bad
 
 
 def snapshots(spark: SparkSession, paths: str | list[str], institution: str | None = None, min_status: int = 200, max_status: int = 299, pattern: str = "*.jsonl*") -> tuple[DataFrame, DataFrame]:
