@@ -1,88 +1,172 @@
 """Stupid-backoff language-model scores, computed relationally.
 
 Words are counted, and so are pairs of words that follow each other, over all documents; pairs counted fewer than
-`least` times are no evidence and are left out, which is when a score backs off:
+`least` times are no evidence, which is when a score backs off:
 
   S(b | a) = c(a b) / c(a)  if the pair is kept, else  backoff * c(b) / N;  S(first word) = c(word) / N
 
-A document's score is the sum of log S over its words. It splits into one term for each word and one for each kept
-pair, log S(b | a) - log(backoff * c(b) / N), so both count tables become tables of weights by hash, joined to the
-exploded n-grams of the same hash and summed for each document. The most frequent n-grams, of a fixed number, are
-broadcast and never shuffled, so no key is hot; the rest are joined by a shuffle on the hash.
+A document's score is the sum of log S over its words. The steps are relations between tables in a vectorised form:
 
-Defined cases: a null, empty or blank text has no words, score 0 and mean null; equal rows give equal rows each; null
-ids are kept; an empty table gives an empty result; very long texts count whole; other columns are left aside.
+1. chunks: documents are cut into words; a chunk of about `chunk_words` words holds them as places in its own sorted
+   vocabulary of 64-bit hashes. Chunks are written once, so that later steps see the same ones.
+2. requests: each chunk sends its distinct n-grams with its own counts to the parts of the count tables, which are dealt
+   by the leading bits of the hash. A part sees an n-gram once a chunk at most, so that no n-gram is hot.
+3. answers: a part adds up the counts of its n-grams and answers each chunk, in the order of its request.
+4. scores: each chunk joins the answers to its n-grams and sums by document.
+
+A part holds about `part_keys` requested n-grams. For much larger corpora raise both sizes together: rows exchanged are
+chunks times parts, and both fit a task's memory up to some 2^24.
+
+Defined cases: a null, empty or blank text has no words, score 0 and a null mean; equal rows give equal rows each; null
+ids are kept; an empty table gives an empty result; very long texts count whole, in one chunk; other columns are left aside.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import ascii_lower, cut, pick
+from .base import cut, pick, slices
 
-SPACES = r"[\x20\x09-\x0D]+"
 BACKOFF, LEAST = 0.4, 2
-#: N-grams of each order that are broadcast, the most frequent ones: 16 bytes each.
-FREQUENT = 1 << 17
-
-
-def words(text: Column) -> Column:
-    return F.array_remove(F.split(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))), SPACES), "")
-
-
-def exploded(documents: DataFrame, keep: list[str]) -> DataFrame:
-    """A row for each word: at (from 0), b (its hash) and a (the hash of the word before, null for the first)."""
-    each = documents.select(*keep, "w", F.posexplode("w").alias("at", "word"))
-    before = F.when(F.col("at") > 0, F.xxhash64(F.get("w", F.col("at") - 1)))
-    return each.select(*keep, "at", before.alias("a"), F.xxhash64("word").alias("b"))
-
-
-def pair_key(a: Column, b: Column) -> Column:
-    return F.xxhash64(a, b)
-
-
-def count_tables(documents: DataFrame, least: int = LEAST, backoff: float = BACKOFF) -> tuple[DataFrame, DataFrame, int]:
-    """Words (key, n, weight), kept pairs (key, n, weight) and the number of words. documents: w, their words."""
-    single = cut(exploded(documents, []).groupBy(F.col("b").alias("key")).agg(F.count("*").alias("n")), "words")
-    total = single.agg(F.sum("n")).first()[0] or 0
-    pairs = exploded(documents, []).where(F.col("a").isNotNull()).groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    pairs = cut(pairs, "pairs")
-    of = single.select("key", F.col("n").alias("m"))
-    known = pairs.join(of.withColumnsRenamed({"key": "a", "m": "n_a"}), "a").join(of.withColumnsRenamed({"key": "b", "m": "n_b"}), "b")
-    gain = F.log(F.col("n") / F.col("n_a")) - F.log(F.lit(float(backoff)) * F.col("n_b") / F.lit(float(max(total, 1))))
-    kept = cut(known.select(pair_key(F.col("a"), F.col("b")).alias("key"), "n", gain.alias("weight")), "kept-pairs")
-    return single.select("key", "n", F.log(F.col("n") / F.lit(float(max(total, 1)))).alias("weight")), kept, total
-
-
-def summed(grams: DataFrame, weights: DataFrame, by: list[str], frequent: int = FREQUENT) -> DataFrame:
-    """by, total: sums of the weights of the grams (by, key); grams without a weight add nothing."""
-    top = cut(weights.orderBy(F.desc("n"), "key").limit(frequent).select("key", F.col("weight").alias("common")), "frequent")
-    rest = weights.join(F.broadcast(top), "key", "left_anti").select("key", "weight")
-    met = grams.join(F.broadcast(top), "key", "left")
-    own = met.where(F.col("common").isNotNull()).groupBy(*by).agg(F.sum("common").alias("total"))
-    rare = met.where(F.col("common").isNull()).select(*by, "key").join(rest, "key").groupBy(*by).agg(F.sum("weight").alias("total"))
-    return cut(own.unionByName(rare).groupBy(*by).agg(F.sum("total").alias("total")), "sums")
-
+CHUNK_WORDS, PART_KEYS, LEAST_PARTS = 1 << 20, 1 << 20, 64
+_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
-def score(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST, backoff: float = BACKOFF, frequent: int = FREQUENT) -> DataFrame:
+CHUNK = "chunk long, doc_ids array<long>, sizes binary, vocabulary binary, words binary"
+REQUEST = "part int, n int, chunk long, keys binary, counts binary"
+ANSWER = "chunk long, n int, part int, totals binary"
+SCORE = "doc_id long, n_words long, n_backoff long, log_score double"
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Bytes of the values, the first of each, then the second and so on: bytes that hardly differ lie together."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def from_planes(raw: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
+
+
+def pack_keys(ordered: np.ndarray) -> bytes:
+    return planes(np.diff(ordered, prepend=np.uint64(0)))
+
+
+def unpack_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(raw, np.uint64), dtype=np.uint64)
+
+
+def _chunks(batches):
+    number, seen, words, ids, sizes = TaskContext.get().partitionId() << 32, {}, [], [], []
+
+    def close():
+        hashes = np.array([xxhash.xxh64_intdigest(w) for w in seen], dtype=np.uint64)
+        order = np.argsort(hashes)
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        row = [[number], [ids], [np.array(sizes, np.uint32).tobytes()], [pack_keys(hashes[order])], [planes(rank[np.array(words, dtype=np.int64)])]]
+        types = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["chunk", "doc_ids", "sizes", "vocabulary", "words"])
+
+    for batch in batches:
+        for part in slices(batch):
+            for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                found = text.encode().lower().split() if text else []
+                words += [seen.setdefault(w, len(seen)) for w in found]
+                ids.append(i)
+                sizes.append(len(found))
+                if len(words) >= CHUNK_WORDS:
+                    yield close()
+                    number, seen, words, ids, sizes = number + 1, {}, [], [], []
+    if ids:
+        yield close()
+
+
+class _Chunk:
+    def __init__(self, sizes: bytes, vocabulary: bytes, words: bytes):
+        self.sizes = np.frombuffer(sizes, np.uint32).astype(np.int64)
+        self.vocabulary, self.words = unpack_keys(vocabulary), from_planes(words, np.uint32)
+        self.document = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.follows = np.flatnonzero(np.diff(self.document, prepend=-1) == 0)  # places of words that have one before
+
+    def pair_keys(self) -> np.ndarray:
+        hashes = self.vocabulary[self.words]
+        return hashes[self.follows - 1] * _A + hashes[self.follows] * _B
+
+
+def _parted(keys: np.ndarray, bits: int):
+    """(part, from, to) of sorted keys, by their leading bits."""
+    edges = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist()
+    for part, (a, b) in enumerate(zip(edges, [*edges[1:], len(keys)])):
+        if a < b:
+            yield part, a, b
+
+
+def _requests(bits: int):
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                number, sizes, vocabulary, words = (batch.column(c)[k].as_py() for c in range(4))
+                chunk = _Chunk(sizes, vocabulary, words)
+                single = np.bincount(chunk.words, minlength=len(chunk.vocabulary))
+                pairs, counts = np.unique(chunk.pair_keys(), return_counts=True)
+                rows = [(part, n, number, pack_keys(keys[a:b]), planes(c[a:b].astype(np.uint32))) for n, keys, c in ((1, chunk.vocabulary, single), (2, pairs, counts)) for part, a, b in _parted(keys, bits)]
+                columns = list(zip(*rows)) or [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()])], names=["part", "n", "chunk", "keys", "counts"])
+
+    return run
+
+
+def _answers(least: int):
+    def run(rows: pa.Table) -> pa.Table:
+        keys = [unpack_keys(k) for k in rows.column("keys").to_pylist()]
+        counts = [from_planes(c, np.uint32).astype(np.uint64) for c in rows.column("counts").to_pylist()]
+        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.zeros(len(distinct), np.uint64)
+        np.add.at(total, place, np.concatenate(counts))
+        if rows.column("n")[0].as_py() > 1:
+            total[total < least] = 0
+        ends = np.cumsum([len(k) for k in keys])
+        answers = [planes(total[place[e - len(k) : e]]) for k, e in zip(keys, ends)]
+        return pa.table({"chunk": rows.column("chunk"), "n": rows.column("n"), "part": rows.column("part"), "totals": pa.array(answers, pa.binary())})
+
+    return run
+
+
+def _scores(total: int, backoff: float):
+    def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
+        told = sorted(zip(answers.column("n").to_pylist(), answers.column("part").to_pylist(), answers.column("totals").to_pylist()), key=lambda r: r[:2])
+        single = np.concatenate([np.zeros(0), *[from_planes(t, np.uint64) for n, _, t in told if n == 1]]).astype(np.float64)
+        double = np.concatenate([np.zeros(0), *[from_planes(t, np.uint64) for n, _, t in told if n == 2]]).astype(np.float64)
+        out = []
+        for k in range(chunks.num_rows):
+            chunk = _Chunk(*[chunks.column(c)[k].as_py() for c in ("sizes", "vocabulary", "words")])
+            own = single[chunk.words]
+            score = np.log(own / max(total, 1))
+            _, place = np.unique(chunk.pair_keys(), return_inverse=True)
+            met = double[place] if len(place) else np.zeros(0)
+            kept = met > 0
+            before = own[chunk.follows - 1]
+            score[chunk.follows] = np.where(kept, np.log(np.where(kept, met, 1) / before), score[chunk.follows] + np.log(backoff))
+            n = len(chunk.sizes)
+            backed = np.bincount(chunk.document[chunk.follows[~kept]], minlength=n)
+            summed = np.bincount(chunk.document, weights=score, minlength=n)
+            out.append(pa.table({"doc_id": pa.array(chunks.column("doc_ids")[k].as_py(), pa.int64()), "n_words": pa.array(chunk.sizes), "n_backoff": pa.array(backed.astype(np.int64)), "log_score": pa.array(summed.astype(np.float64))}))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def score(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST, backoff: float = BACKOFF, part_keys: int = PART_KEYS) -> DataFrame:
     """doc_id, n_words, n_backoff (words scored by backing off), log_score and mean_log (log_score by n_words)."""
-    by = ["doc_id", "h"]
-    docs = pick(df, doc_id=doc_id, text=text).select("doc_id", F.xxhash64("text", F.col("text").isNull()).alias("h"), words(F.col("text")).alias("w"))
-    single, kept, _ = count_tables(docs.select("w"), least, backoff)
-    alone = summed(exploded(docs, by).select(*by, F.col("b").alias("key")), single, by, frequent)
-    follow = exploded(docs, by).where(F.col("a").isNotNull()).select(*by, pair_key(F.col("a"), F.col("b")).alias("key"))
-    # the weight of a kept pair and the pair itself are summed together: total in `gain`, pairs in `met`
-    gains = summed(follow, kept, by, frequent)
-    met = summed(follow, kept.select("key", "n", F.lit(1.0).alias("weight")), by, frequent)
-    sizes = docs.groupBy(*by).agg(F.count("*").alias("copies"), F.first(F.size("w").cast("long")).alias("n_words"))
-    out = sizes
-    for part, name in ((alone, "alone"), (gains, "gain"), (met, "met")):
-        part = part.select(F.col("doc_id").alias("i"), F.col("h").alias("g"), F.col("total").alias(name))
-        out = out.join(part, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g")), "left").drop("i", "g")
-    copies = F.col("copies")
-    follows = F.greatest(F.col("n_words") - 1, F.lit(0))
-    total = F.coalesce(F.col("alone"), F.lit(0.0)) / copies + follows * F.log(F.lit(float(backoff))) + F.coalesce(F.col("gain"), F.lit(0.0)) / copies
-    backed = follows - F.round(F.coalesce(F.col("met"), F.lit(0.0)) / copies).cast("long")
-    out = out.select("doc_id", "n_words", backed.alias("n_backoff"), total.alias("log_score"), F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
-    return out.select("doc_id", "n_words", "n_backoff", "log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).alias("mean_log"))
+    chunks = cut(pick(df, doc_id=doc_id, text=text).mapInArrow(_chunks, CHUNK), "chunks")
+    total = chunks.agg(F.sum(F.octet_length("words")) / 4).first()[0] or 0
+    bits = max(LEAST_PARTS, int(total) // part_keys).bit_length() - 1
+    requests = chunks.select("chunk", "sizes", "vocabulary", "words").mapInArrow(_requests(bits), REQUEST)
+    answers = requests.groupBy("part", "n").applyInArrow(_answers(least), ANSWER)
+    scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scores(int(total), backoff), SCORE)
+    return scored.withColumn("mean_log", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))
