@@ -174,7 +174,8 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", sample:
     usable = pick(labels, doc_id="doc_id", label=label).where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0))
     usable = cut(usable.orderBy(*order).limit(sample), "labelled")
     texts = pick(documents, doc_id="doc_id", text="text").join(F.broadcast(usable), "doc_id")  # at most `sample` keys
-    known = statistics(texts, keep={"label": "label"}).where("not base_failed").select("doc_id", "label", "features").orderBy(*order, "features").limit(sample).collect()
+    found = statistics(texts, keep={"label": "label"}).select("doc_id", "label", "base_failed", "features").orderBy(*order, "features").limit(sample).collect()
+    known = [r for r in found if not r["base_failed"]]  # as a filter this would go below the join, over every document
     if not known:
         return DecisionList()
     return learn(np.array([list(r["features"]) for r in known]), np.array([r["label"] for r in known]))
