@@ -38,25 +38,35 @@ def keyed(evidence: DataFrame) -> DataFrame:
 def aggregate(evidence: DataFrame, policy: FrequencyPolicy = FrequencyPolicy(), institutions: InstitutionPolicy | None = None) -> DataFrame:
     """A decision for each group: candidate fields, support, institutions, record_fingerprints, rationale, weight, passed.
 
-    Two aggregations on the same key: labels and counts once for each row, and institution by fingerprint pairs, where
-    near-duplicate fingerprints of an institution collapse to the least."""
+    One pass over the input: a row becomes one for each of its institutions and fingerprints, the first of which carries its
+    label and counts. These are aggregated by institution and near-duplicate key, where fingerprints collapse to the least,
+    then by group; both aggregations combine before they shuffle."""
     rows = keyed(evidence)
-    heads = rows.groupBy(*KEY).agg(
-        F.min_by(F.struct("label", F.trim("normalized").alias("normalized")), "ord").alias("first"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array_append(F.coalesce("aliases", _empty()), F.col("label")))))).alias("aliases"),
-        F.sum(F.greatest(F.col("count"), F.lit(0))).alias("n_count"),
-        F.sum(F.greatest(F.col("records"), F.lit(0))).alias("n_records"),
-    )
     named = F.filter(F.coalesce("institutions", _empty()), lambda n: n != "")
     seen = F.when(F.size(named) > 0, F.transform(named, lambda n: tx.resolve_institution(n, institutions or InstitutionPolicy()))).otherwise(F.array(F.lit(policy.unknown_institution)))
-    pairs = rows.select(*KEY, F.explode(F.array_distinct(seen)).alias("institution"), F.coalesce("record_fingerprints", _empty()).alias("prints"))
-    pairs = pairs.select(*KEY, "institution", F.explode_outer("prints").alias("print"))
+    told = F.struct("ord", "label", F.trim("normalized").alias("normalized"))
+    names = F.array_append(F.coalesce("aliases", _empty()), F.col("label"))
+    each = rows.select(*KEY, told.alias("first"), names.alias("names"), F.greatest(F.col("count"), F.lit(0)).alias("n"), F.greatest(F.col("records"), F.lit(0)).alias("r"), F.coalesce("record_fingerprints", _empty()).alias("prints"), F.posexplode(F.array_distinct(seen)).alias("i", "institution"))
+    each = each.select("*", F.posexplode_outer("prints").alias("j", "print"))
+    lead = (F.col("i") == 0) & (F.coalesce("j", F.lit(0)) == 0)
     near = tx.near_duplicate_key(F.col("print"), policy.near_duplicate) if policy.near_duplicate.enabled else F.col("print")
-    pairs = pairs.groupBy(*KEY, "institution", near.alias("near")).agg(F.min("print").alias("print"))
-    tails = pairs.groupBy(*KEY).agg(F.array_sort(F.collect_set("institution")).alias("institutions"), F.array_sort(F.collect_set("print")).alias("record_fingerprints"))
-    joined = heads.join(tails, KEY)
+    pairs = each.groupBy(*KEY, "institution", near.alias("near")).agg(
+        F.min("print").alias("print"),
+        F.min(F.when(lead, F.col("first"))).alias("first"),
+        F.collect_set(F.when(lead, F.col("names"))).alias("names"),
+        F.sum(F.when(lead, F.col("n"))).alias("n"),
+        F.sum(F.when(lead, F.col("r"))).alias("r"),
+    )
+    groups = pairs.groupBy(*KEY).agg(
+        F.min("first").alias("first"),
+        F.array_sort(F.array_distinct(F.flatten(F.flatten(F.collect_list("names"))))).alias("aliases"),
+        F.sum("n").alias("n_count"),
+        F.sum("r").alias("n_records"),
+        F.array_sort(F.collect_set("institution")).alias("institutions"),
+        F.array_sort(F.collect_set("print")).alias("record_fingerprints"),
+    )
     records = F.when(F.size("record_fingerprints") > 0, F.size("record_fingerprints").cast("long")).otherwise(F.col("n_records"))
-    out = joined.select(
+    out = groups.select(
         "level",
         F.col("first.label").alias("label"),
         F.col("first.normalized").alias("normalized"),
