@@ -237,6 +237,8 @@ def _slim(tree: Tree) -> None:
 def components(edges: DataFrame) -> DataFrame:
     """edges (a, b) to (node, root), a row for each node that has a link and is not its component's least node."""
     stars = cut(edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).where("node <> root").distinct(), "edges")
+    if stars.isEmpty():
+        return stars
     before = None
     while True:
         both = stars.unionAll(stars.select(F.col("root").alias("node"), F.col("node").alias("root")))
@@ -256,7 +258,7 @@ def group(rows: DataFrame, radius: int = 2) -> DataFrame:
     points = cut(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "points")
     stars = components(near_links(points, radius))
     rooted = points.join(stars.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = cut(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "named")  # as a scan, so that a hot root's join can be split
     return rooted.join(named, "root").select("fingerprint", "root", "component_id")
 
 
@@ -279,7 +281,8 @@ def drop_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words
     rows = cut(fingerprints(wide.select(F.col(key).alias("doc_id"), "k", F.col(body).alias("text")), "text", words, ["doc_id", "k"]), "fingerprints")
     near = rows.groupBy("fingerprint", "doc_id", "k").agg(F.count("*").alias("rows")).join(group(rows, radius), "fingerprint")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")
-    best = near.groupBy("root").agg(F.min(order).alias("best"))
+    near = cut(near, "near")
+    best = cut(near.groupBy("root").agg(F.min(order).alias("best")), "best")
     judged = cut(near.join(best, "root").select("doc_id", "k", "rows", (order != F.col("best")).alias("drop")), "judged")
     dropped, repeated = judged.agg(F.count_if("drop"), F.max(F.when(~F.col("drop"), F.col("rows")))).first()
     gone = judged.where("drop").select(F.col("doc_id").alias("gone_id"), F.col("k").alias("gone_k"))
