@@ -48,10 +48,20 @@ def others(df: DataFrame, taken: list[str]) -> list[int]:
     return out
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of SLICE_BYTES in place of Spark's default of 64 MB, which both sides of each Python worker hold."""
+    if spark.conf.get(BATCH_BYTES, "67108864b").rstrip("b") == str(64 << 20):
+        spark.conf.set(BATCH_BYTES, str(SLICE_BYTES))
+
+
 def with_columns(df: DataFrame, inputs: list[str], fn: Callable[..., list], outputs: pa.Schema, carry: list[str] | None = None) -> DataFrame:
     """Appends Python-made columns in one narrow pass: fn gets a list of values for each of `inputs`
     and returns a list of values for each field of `outputs`. `carry`: input columns to keep (None: all).
     Work goes on in slices, so memory follows SLICE_BYTES and the longest single text, not the partition."""
+    bound_batches(df.sparkSession)
     at = [position(df, c) for c in inputs]
     keep = others(df, outputs.names) if carry is None else [position(df, c) for c in carry]
     need = sorted({*at, *keep})
