@@ -26,30 +26,35 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import cut, pick, slices
+from .base import bound_batches, cut, pick, slices
 
 BACKOFF, LEAST = 0.4, 2
-CHUNK_WORDS, PART_KEYS, LEAST_PARTS = 1 << 20, 1 << 20, 64
+CHUNK_WORDS, PART_KEYS, LEAST_PARTS = 3 << 18, 1 << 20, 64
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
-CHUNK = "chunk long, doc_ids array<long>, sizes binary, vocabulary binary, words binary"
+CHUNK = "chunk long, n_words long, doc_ids array<long>, sizes binary, vocabulary binary, words binary"
 REQUEST = "part int, n int, chunk long, keys binary, counts binary"
 ANSWER = "chunk long, n int, part int, totals binary"
 SCORE = "doc_id long, n_words long, n_backoff long, log_score double"
 
 
 def planes(values: np.ndarray) -> bytes:
-    """Bytes of the values, the first of each, then the second and so on: bytes that hardly differ lie together."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    """Bytes of the values, the first of each, then the second and so on, so that like bytes lie together; compressed."""
+    if not len(values):
+        return b""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes())
 
 
 def from_planes(raw: bytes, kind: type) -> np.ndarray:
+    if not raw:
+        return np.zeros(0, kind)
     width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
 
 
 def pack_keys(ordered: np.ndarray) -> bytes:
@@ -68,9 +73,9 @@ def _chunks(batches):
         order = np.argsort(hashes)
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        row = [[number], [ids], [np.array(sizes, np.uint32).tobytes()], [pack_keys(hashes[order])], [planes(rank[np.array(words, dtype=np.int64)])]]
-        types = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["chunk", "doc_ids", "sizes", "vocabulary", "words"])
+        row = [[number], [len(words)], [ids], [np.array(sizes, np.uint32).tobytes()], [pack_keys(hashes[order])], [planes(rank[np.array(words, dtype=np.int64)])]]
+        types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["chunk", "n_words", "doc_ids", "sizes", "vocabulary", "words"])
 
     for batch in batches:
         for part in slices(batch):
@@ -163,10 +168,11 @@ def _scores(total: int, backoff: float):
 
 def score(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST, backoff: float = BACKOFF, part_keys: int = PART_KEYS) -> DataFrame:
     """doc_id, n_words, n_backoff (words scored by backing off), log_score and mean_log (log_score by n_words)."""
+    bound_batches(df.sparkSession)
     chunks = cut(pick(df, doc_id=doc_id, text=text).mapInArrow(_chunks, CHUNK), "chunks")
-    total = chunks.agg(F.sum(F.octet_length("words")) / 4).first()[0] or 0
+    total = chunks.agg(F.sum("n_words")).first()[0] or 0
     bits = max(LEAST_PARTS, int(total) // part_keys).bit_length() - 1
     requests = chunks.select("chunk", "sizes", "vocabulary", "words").mapInArrow(_requests(bits), REQUEST)
     answers = requests.groupBy("part", "n").applyInArrow(_answers(least), ANSWER)
-    scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scores(int(total), backoff), SCORE)
+    scored = chunks.drop("n_words").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scores(int(total), backoff), SCORE)
     return scored.withColumn("mean_log", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))

@@ -43,6 +43,9 @@ def test_op8_brute_force(spark, data):
 def test_op8_odd_rows(spark, odd, clashing, keys):
     close(ngrams.score(clashing, part_keys=keys), list(brute_lm(texts(odd))))
     assert ngrams.score(odd.limit(0)).count() == 0
+    blank = odd.where("doc_id in (0, 1, 2, 3)")  # no words, and single words only
+    close(ngrams.score(blank), list(brute_lm(texts(blank))))
+    assert [r["mean_log"] for r in ngrams.score(odd.where("doc_id = 0")).collect()] == [None]
 
 
 def brute_licences(rows):
