@@ -191,8 +191,8 @@ SELECT id, len(hard) = 0 AS passed, len(hard) > 0 AS hard_fail, array_to_string(
 , w AS (SELECT unnest(CASE WHEN level = 3 AND contains(lower(label), 'kdd') THEN ['Rule warning: venue_name_detected:kdd'] ELSE ['All deterministic rule checks passed.'] END) AS detail FROM q)
 SELECT 'rule' AS mode, detail LIKE 'All%' AS passed, detail, count(*) AS findings FROM w GROUP BY ALL""",
     "evidence_mentions": MENTIONS + "SELECT id, snap FROM m",
-    "evidence_snippets": MENTIONS + "SELECT id, snap, pos, round(score, 6) AS score FROM sc",
-    "evidence_topk": MENTIONS + "SELECT id, snap, pos, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 3",
+    "evidence_snippets": MENTIONS + "SELECT id, snap, pos, round(score, 6)::DOUBLE AS score FROM sc",
+    "evidence_topk": MENTIONS + "SELECT id, snap, pos, round(score, 6)::DOUBLE AS score, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 3",
     "evidence_pack": MENTIONS + """
 , u AS (SELECT *, sum(len(snippet)) OVER (PARTITION BY id ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM rk WHERE rank <= 5 AND snippet <> '')
 SELECT id, count(*) AS snippets, CAST(max(rank) AS INTEGER) AS last FROM u WHERE rank = 1 OR total <= 400 GROUP BY id""",
