@@ -315,11 +315,20 @@ def double_metaphone(text: Column) -> Column:
 
 
 def close_matches(anchor: Column, keys: list[str], most: int = 3, cutoff: float = 0.86) -> Column:
-    """The closest of a small list of keys, best first."""
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
+    """The closest of a small list of keys with their scores, best first: those of several lists can be merged."""
+
+    def scored(x: str) -> list[dict]:
+        matcher = difflib.SequenceMatcher()
+        matcher.set_seq2(x)
+        out = []
+        for key in difflib.get_close_matches(x, keys, n=most, cutoff=cutoff):
+            matcher.set_seq1(key)
+            out.append({"score": matcher.ratio(), "key": key})
+        return out
+
+    @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("score", T.DoubleType()), T.StructField("key", T.StringType())])))
     def match(text: pd.Series) -> pd.Series:
-        return text.map(lambda x: None if x is None else difflib.get_close_matches(x, keys, n=most, cutoff=cutoff))
+        return text.map(lambda x: None if x is None else scored(x))
 
     return match(anchor)
 

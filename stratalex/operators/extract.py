@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.udfs import close_matches
 from ..policies import LabelPolicy
+from ..sources.shared import cut
 
 ANSWER = "array<struct<label:string,normalized:string,aliases:array<string>,parents:array<string>>>"
-#: Keys of parents that the fuzzy matcher may hold; it is only asked for anchors that no key equals.
+#: Keys of parents that the fuzzy matcher holds at once; more are matched in further blocks. It is only asked for anchors
+#: that no key equals.
 MOST_KEYS = 50_000
 
 
@@ -72,16 +74,41 @@ def resolve(anchors: DataFrame, keys: DataFrame, policy: LabelPolicy = LabelPoli
     hits = forms.join(keys, (F.col("form") == F.col("key")) & (F.col("parent_level") < F.col("level")))
     exact = _ordered(hits, "rank").withColumn("how", F.lit("exact"))
     open_ = anchors.join(exact, ["anchor", "level"], "left_anti")
-    few = [r[0] for r in keys.select("key").distinct().orderBy("key").limit(MOST_KEYS + 1).collect()]
+    near = _near(open_, keys, policy)
     out = exact
-    if few and len(few) <= MOST_KEYS:
-        near = anchor_forms(open_, policy).select("anchor", "level", "rank", F.posexplode(close_matches(F.col("form"), few, 3, policy.parent_similarity_cutoff)).alias("near", "key"))
+    if near is not None:
         found = near.join(keys, "key").where(F.col("parent_level") < F.col("level")).withColumn("rank", F.col("rank") * 10 + F.col("near"))
         out = out.unionByName(_ordered(found, "rank").withColumn("how", F.lit("fuzzy")))
     lost = anchors.join(out, ["anchor", "level"], "left_anti").select("anchor", "level", F.array(F.concat(F.lit("UNRESOLVED:"), tx.squeeze("anchor"))).alias("parent_ids"), F.lit("unresolved").alias("how"))
     return out.unionByName(lost)
 
 
+def _near(open_: DataFrame, keys: DataFrame, policy: LabelPolicy) -> DataFrame | None:
+    """anchor, level, rank, near (0 to 2) and key: the three closest keys of shallower levels for each form. Keys go in blocks
+    of MOST_KEYS of one level; each block's best three are merged."""
+    forms = anchor_forms(open_, policy)
+    least = keys.groupBy("key").agg(F.min("parent_level").alias("first"))
+    sizes = least.groupBy("first").count().orderBy("first").collect()
+    several = sum(-(-r["count"] // MOST_KEYS) for r in sizes) > 1
+    if several:
+        forms, least = cut(forms, "forms"), cut(least, "keys")
+    near = None
+    for first, size in sizes:
+        last = None
+        for _ in range(-(-size // MOST_KEYS)):
+            page = least.where(F.col("first") == first)
+            page = page if last is None else page.where(F.col("key") > last)
+            block = [r[0] for r in page.select("key").orderBy("key").limit(MOST_KEYS).collect()]
+            last = block[-1]
+            found = forms.where(F.col("level") > first).select("anchor", "level", "rank", F.explode(close_matches(F.col("form"), block, 3, policy.parent_similarity_cutoff)).alias("m"))
+            found = cut(found, "near") if several else found
+            near = found if near is None else near.unionAll(found)
+    if near is None:
+        return None
+    best = near.groupBy("anchor", "level", "rank").agg(F.slice(F.sort_array(F.collect_list("m"), asc=False), 1, 3).alias("best"))
+    return best.select("anchor", "level", "rank", F.posexplode("best").alias("near", "m")).select("anchor", "level", "rank", "near", F.col("m.key").alias("key"))
+
+
 def _ordered(hits: DataFrame, rank: str) -> DataFrame:
     listed = F.array_sort(F.collect_set(F.struct(F.col(rank).alias("r"), "ord", "parent_id")))
     return hits.groupBy("anchor", "level").agg(F.array_distinct(F.transform(listed, lambda s: s["parent_id"])).alias("parent_ids"))

@@ -1,6 +1,11 @@
-"""Queries take every row, against brute force."""
+"""Queries and operators take every row, against brute force."""
+
+import difflib
+
+import pytest
 
 from stratalex import queries
+from stratalex.operators import extract
 
 
 def test_combined_similarity_takes_every_part(spark, tmp_path):
@@ -15,3 +20,26 @@ def test_combined_similarity_takes_every_part(spark, tmp_path):
     want = {k: round(len(x & at[k + 1]) / len(x | at[k + 1]), 6) for k, x in at.items() if k + 1 in at}
     found = {r["p_partkey"]: r["score"] for r in queries.combined_similarity(spark, str(tmp_path)).collect()}
     assert found == want and max(found) > 2000
+
+
+@pytest.mark.parametrize("most", [3, 7, 50_000])
+def test_fuzzy_parents_in_blocks(spark, monkeypatch, most):
+    """Whatever fits in a block, the three closest keys of shallower levels win."""
+    monkeypatch.setattr(extract, "MOST_KEYS", most)
+    keys = [(f"mechanical enginering {c}", f"P{c}{level}", level, 0) for level in (0, 1, 2) for c in "abcdefg"[level * 2 : level * 2 + 4]]
+    keys += [("mechanical engineering xx", "deep1", 2, 0), ("mechanical engineering xy", "deep2", 2, 0), ("mechanical engineering xz", "deep3", 3, 0)]
+    parents = spark.createDataFrame(keys, "key string, parent_id string, parent_level int, ord int")
+    asked = [("mechanical engineering x", level) for level in (1, 2, 3)] + [("quite another thing", 2), ("mechanical enginering a", 1)]
+    anchors = spark.createDataFrame(asked, "anchor string, level int")
+    forms = {(r["anchor"], r["level"], r["rank"]): r["form"] for r in extract.anchor_forms(anchors).collect()}
+    want = {}
+    for anchor, level in asked:
+        allowed = sorted({k for k, _, at, _ in keys if at < level})
+        found = []
+        exact = [p for (a, at, _), f in sorted(forms.items()) if (a, at) == (anchor, level) for k, p, pl, _ in sorted(keys, key=lambda x: x[1]) if k == f and pl < level]
+        for (a, at, _), f in sorted(forms.items()):
+            for k in difflib.get_close_matches(f, allowed, n=3, cutoff=0.86) if (a, at) == (anchor, level) and not exact else []:
+                found += [p for key, p, pl, _ in sorted(keys, key=lambda x: x[1]) if key == k and pl < level]
+        want[anchor, level] = list(dict.fromkeys(exact or found)) or [f"UNRESOLVED:{anchor}"]
+    got = {(r["anchor"], r["level"]): list(r["parent_ids"]) for r in extract.resolve(anchors, parents).collect()}
+    assert got == want and not got["mechanical engineering x", 1][0].startswith("UNRESOLVED")
