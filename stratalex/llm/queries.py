@@ -30,7 +30,7 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_tokenstore(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/token-ids-{uuid.uuid4().hex}"
-    tokenstore.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
+    tokenstore.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(TOKENIZER))
     return tokenstore.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
 
 

@@ -1,208 +1,227 @@
 """Adaptive context-mixing range coder for token ids.
 
-Ids are cut into blocks of equal length; each block starts from the same fresh model, so any block can be read
-alone. Many blocks advance together, one id each a step, as lanes of NumPy arrays; arithmetic is on integers only,
-so that every machine decodes alike.
-
-A step codes one id in two parts. Order 2 and order 1 each predict an id from a hashed context; adaptive hit rates of
-their confidences are mixed by an adaptive weight into the shares of "order 2 is right", "order 1 is right" and
-"neither". In the last case the id itself follows under the adaptive order-0 frequencies. The range coder keeps 48 bits
-and moves whole 16-bit words; carries are added to the words before at the end.
+Ids are coded as ranks: the caller numbers the ids of a segment from the most frequent on, so any vocabulary fits. Ranks
+are cut into blocks of equal length; each block starts from the same fresh model, so any block can be read alone. Many
+blocks advance together, one rank each a step, as lanes of NumPy arrays; arithmetic is on integers only, so that every
+machine decodes alike.
+
+A step codes one rank. Order 2 and order 1 each predict a rank from a hashed context; adaptive hit rates of their
+confidences are mixed by an adaptive weight into the shares of "order 2 is right" and "order 1 is right". The rest of
+the interval goes to order 0: adaptive frequencies of the octaves of ranks (0, 1-2, 3-6, 7-14, ...), each cut evenly among
+its ranks. The range coder keeps 60 bits and moves whole 16-bit words; carries are added to the words before at the end.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-VOCABULARY = 50257
 #: Longest block, shortest block, and lanes that advance together.
-BLOCK, LEAST_BLOCK, LANES = 8192, 512, 320
-_ONE, _TOP, _LOW32 = 16, np.uint64(1 << 32), np.uint64(0xFFFFFFFF)
-_U16, _U32, _U20 = np.uint64(16), np.uint64(32), np.uint64(20)
-_TABLE = 4096
-_WIDTH = 1 << 16
-_PRIOR = (1 + 30000 // (np.arange(VOCABULARY) + 50)).astype(np.uint32)
-_REFRESH = frozenset(128 << k for k in range(20))
+BLOCK, LEAST_BLOCK, LANES = 1024, 256, 2048
+#: Octaves of ranks at most, which bounds the distinct ids of a segment.
+OCTAVES = 24
+_TABLE = 512
+_MASK = np.int64(_TABLE - 1)
+_U16, _U44 = np.uint64(16), np.uint64(44)
+_TOP, _LOW44, _SPAN = np.uint64(1 << 44), np.uint64((1 << 44) - 1), np.uint64(1 << 60)
+#: Least share of an octave, of 2^16; shares follow the ranks met by 1/32 each time.
+_LEAST, _SPEED = 96, 5
+#: Least share of order 1 or 2; together they have 2^16 times 64000/65536 at most, since rates stay below 64000.
+_FLOOR = 32
+
+
+def octave(ranks: np.ndarray) -> np.ndarray:
+    """Place of the highest bit of rank + 1."""
+    return np.frexp((ranks + 1).astype(np.float64))[1].astype(np.int64) - 1
 
 
 class _Model:
-    """State of all lanes. predict() gives the shares; update(ids) learns."""
+    """State of all lanes. predict() gives the shares of order 2 and 1; update() learns."""
 
-    def __init__(self, lanes: int):
-        self.lanes, self.step = lanes, 0
+    def __init__(self, lanes: int, counts: np.ndarray):
+        """counts: ranks in each octave over the segment, from which order 0 starts."""
+        self.lanes, self.octaves = lanes, len(counts)
         self.row = np.arange(lanes, dtype=np.int64)
-        self.row_t, self.row_a, self.row_w = self.row * _TABLE, self.row * 32, self.row * _WIDTH
-        self.seen1, self.seen2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.guess1, self.guess2 = np.zeros(lanes * _TABLE, np.int32), np.zeros(lanes * _TABLE, np.int32)
-        self.sure1, self.sure2 = np.zeros(lanes * _TABLE, np.int32), np.zeros(lanes * _TABLE, np.int32)
+        self.row_t, self.row_a = self.row * _TABLE, self.row * 32
+        self.mixed, self.mixed_before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.table1, self.table2 = np.zeros(lanes * _TABLE, np.int32), np.zeros(lanes * _TABLE, np.int32)  # rank << 4 | confidence
         start = np.minimum(4096 + 3600 * np.arange(16), 60000)
-        self.rate1 = np.tile(np.concatenate([start // 2, start]), lanes).astype(np.int64)
+        self.rate1 = np.tile(np.concatenate([start // 2, start]), lanes).astype(np.int32)
         self.rate2 = self.rate1.copy()
         self.weight = np.full(lanes, 1 << 15, np.int64)
-        self.counts = np.zeros((lanes, VOCABULARY), np.uint16)
-        self.before = np.full((lanes, _WIDTH), np.iinfo(np.uint32).max, np.uint32)
-        self.refresh()
-
-    def refresh(self) -> None:
-        """Order-0 frequencies: a fixed prior that favours low ids, and the counts so far, 2^20 in all."""
-        spare = (1 << 20) - int(_PRIOR.sum())
-        scale = np.uint32(spare // max(1, self.step))
-        for a in range(0, self.lanes, 32):
-            share = self.counts[a : a + 32].astype(np.uint32)
-            share *= scale
-            share += _PRIOR
-            self.before[a : a + 32, 0] = 0
-            np.cumsum(share[:, :-1], axis=1, out=self.before[a : a + 32, 1:VOCABULARY])
-        self.flat = self.before.reshape(-1)
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray]:
-        self.at1 = self.row_t + ((self.seen1 * 40503 >> 3) & (_TABLE - 1))
-        self.at2 = self.row_t + (((self.seen1 * 40503) ^ (self.seen2 * 29423 >> 2)) & (_TABLE - 1))
-        self.p1, self.p2 = self.guess1.take(self.at1), self.guess2.take(self.at2)
-        self.c1, self.c2 = self.sure1.take(self.at1), self.sure2.take(self.at2)
-        self.agree = self.p1 == self.p2
-        flag = self.agree * 16 + self.row_a
+        # order 0: cumulative shares of the octaves without their least shares, a row for each bound
+        self.spare = (1 << 16) - _LEAST * self.octaves
+        share = np.cumsum(counts.astype(np.int64)) * self.spare // max(1, int(counts.sum()))
+        share[-1] = self.spare
+        self.shares = np.repeat(np.concatenate([[0], share]).astype(np.int32), lanes).reshape(self.octaves + 1, lanes)
+        self.flat = self.shares.reshape(-1)
+        self.bound = np.arange(self.octaves + 1, dtype=np.int8)[:, None]
+        self.least = (_LEAST * np.arange(self.octaves + 1, dtype=np.int32))[:, None]
+
+    def predict(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """seen: the ranks before."""
+        self.mixed_before, self.mixed = self.mixed, seen * 40503
+        self.at1 = (seen & _MASK) + self.row_t
+        self.at2 = ((self.mixed ^ (self.mixed_before >> 3) ^ (self.mixed >> 11)) & _MASK) + self.row_t
+        self.e1, self.e2 = self.table1.take(self.at1), self.table2.take(self.at2)
+        self.p1, self.p2 = self.e1 >> 4, self.e2 >> 4
+        self.c1, self.c2 = self.e1 & 15, self.e2 & 15
+        agree = (self.p1 == self.p2).view(np.int8)
+        flag = (agree << 4) + self.row_a
         self.a1, self.a2 = flag + self.c1, flag + self.c2
         self.r1, self.r2 = self.rate1.take(self.a1), self.rate2.take(self.a2)
-        second = np.maximum(self.weight * self.r2 >> 16, 32)
-        first = np.maximum((65536 - self.weight) * self.r1 >> 16, 32)
-        return np.where(self.agree, second + first, second), np.where(self.agree, 0, first)
-
-    def update(self, ids: np.ndarray) -> None:
-        hit1, hit2 = ids == self.p1, ids == self.p2
-        self.rate1[self.a1] = self.r1 + ((hit1 * 64000 - self.r1) >> 5)
-        self.rate2[self.a2] = self.r2 + ((hit2 * 64000 - self.r2) >> 5)
-        better = hit2.astype(np.int64) - hit1
-        self.weight += np.where(better > 0, (65536 - self.weight) >> 5, -((self.weight * (better < 0)) >> 5))
-        np.clip(self.weight, 2048, 63488, out=self.weight)
-        self.guess1[self.at1] = np.where(hit1 | (self.c1 > 0), self.p1, ids)
-        self.guess2[self.at2] = np.where(hit2 | (self.c2 > 0), self.p2, ids)
-        self.sure1[self.at1] = np.where(hit1, np.minimum(self.c1 + 1, 15), self.c1 >> 1)
-        self.sure2[self.at2] = np.where(hit2, np.minimum(self.c2 + 1, 15), self.c2 >> 1)
-        self.counts[self.row, ids] += 1
-        self.seen2, self.seen1 = self.seen1, ids.astype(np.int64)
-        self.step += 1
-        if self.step in _REFRESH:
-            self.refresh()
-
-    def share(self, lanes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = self.row_w[lanes] + ids
-        low = self.flat.take(at).astype(np.uint64)
-        high = np.where(ids == VOCABULARY - 1, 1 << 20, self.flat.take(np.minimum(at + 1, len(self.flat) - 1))).astype(np.uint64)
-        return low, high - low
-
-    def find(self, lanes: np.ndarray, value: np.ndarray) -> np.ndarray:
-        """The id whose share holds the value."""
-        at = self.row_w[lanes]
-        base = at.copy()
-        for k in range(15, -1, -1):
-            on = at + (1 << k)
-            at = np.where(self.flat.take(on, mode="clip") <= value, on, at)
-        return at - base
+        second = np.maximum(self.weight * self.r2 >> 16, _FLOOR)
+        first = np.maximum(((1 << 16) - self.weight) * self.r1 >> 16, _FLOOR)
+        shared = agree * first
+        return second + shared, first - shared
+
+    def span_of(self, octaves: np.ndarray, both: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end of an octave in the part of the interval that order 0 has."""
+        at = octaves * self.lanes + self.row
+        low, high = self.flat.take(at) + octaves * _LEAST, self.flat.take(at + self.lanes) + (octaves + 1) * _LEAST
+        return both + (rest * low >> 16), both + (rest * high >> 16)
+
+    def find(self, value: np.ndarray, both: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """The octave that holds the value: bounds b with both + (rest * b >> 16) <= value are passed."""
+        passed = np.maximum(((value - both + 1 << 16) - 1) // rest, 0).astype(np.int32)
+        return np.add.reduce(self.shares[1:-1] <= passed - self.least[1:-1], axis=0, dtype=np.int8).astype(np.int64)
+
+    def update(self, ranks: np.ndarray, hit1: np.ndarray, hit2: np.ndarray, missed: np.ndarray, octaves: np.ndarray) -> None:
+        """hit1, hit2: which orders were right; missed: neither was."""
+        self.rate1[self.a1] = self.r1 + ((hit1 * np.int32(64000) - self.r1) >> 5)
+        self.rate2[self.a2] = self.r2 + ((hit2 * np.int32(64000) - self.r2) >> 5)
+        goal = _GOAL.take((hit2.view(np.int8) << 1) + hit1)
+        self.weight += (goal - self.weight >> 5) * (hit1 != hit2)
+        fresh = (ranks << 4).astype(np.int32)
+        for table, at, entry, sure, hit in ((self.table1, self.at1, self.e1, self.c1, hit1), (self.table2, self.at2, self.e2, self.c2, hit2)):
+            change = _CHANGE.take(sure + (hit.view(np.int8) << 4))
+            table[at] = np.where(change, entry + change, np.where(hit, entry, fresh))
+        step = (self.bound > octaves.astype(np.int8)) * np.int32(self.spare)
+        step -= self.shares
+        step >>= _SPEED
+        step *= missed.astype(np.int32)
+        self.shares += step
+
+
+_GOAL = np.array([0, 2048, 63488, 0])
+#: Change of a confidence by itself and whether its guess was right; at 0 a wrong guess is replaced.
+_CHANGE = np.array([-((c + 1) >> 1) for c in range(16)] + [int(c < 15) for c in range(16)], np.int32)
 
 
 def block_length(n: int) -> int:
+    """Ids a block: such that LANES blocks hold n ids, between LEAST_BLOCK and BLOCK."""
     return max(LEAST_BLOCK, min(BLOCK, -(-n // LANES)))
 
 
-def encode(ids: np.ndarray, length: int) -> list[bytes]:
-    """One coded block for each `length` ids; the last is filled up with id 0."""
-    blocks = -(-len(ids) // length)
+def octave_counts(ranks: np.ndarray) -> np.ndarray:
+    counts = np.bincount(octave(ranks), minlength=1)
+    if len(counts) > OCTAVES:
+        raise ValueError(f"more than 2^{OCTAVES} distinct ids in a segment")
+    return counts
+
+
+def encode(ranks: np.ndarray, length: int, counts: np.ndarray) -> list[bytes]:
+    """One coded block for each `length` ranks; the last is filled up with rank 0."""
+    blocks = -(-len(ranks) // length)
     filled = np.zeros(blocks * length, np.int32)
-    filled[: len(ids)] = ids
+    filled[: len(ranks)] = ranks
     filled = filled.reshape(blocks, length)
-    return [x for a in range(0, blocks, LANES) for x in _encode(filled[a : a + LANES])]
+    return [x for a in range(0, blocks, LANES) for x in _encode(filled[a : a + LANES], counts)]
 
 
-def _encode(ids: np.ndarray) -> list[bytes]:
-    lanes, length = ids.shape
-    model = _Model(lanes)
-    low, span, place = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 48, np.uint64), np.zeros(lanes, np.int64)
-    words = np.zeros((lanes, length * 5 // 2 + 16), np.uint32)
-    columns = np.ascontiguousarray(ids.T)
+def _encode(ranks: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    lanes, length = ranks.shape
+    model = _Model(lanes, counts)
+    low, span = np.zeros(lanes, np.uint64), np.full(lanes, _SPAN, np.uint64)
+    width = length * 3 + 16  # a rank takes 11 bits at most for its order, 11 for its octave and 24 in it
+    words = np.zeros(lanes * width, np.uint32)
+    place = np.arange(lanes, dtype=np.int64) * width
+    begin_of = place.copy()
+    columns = np.ascontiguousarray(ranks.T)
+    of = octave(np.arange(int(ranks.max()) + 1))
+    seen = np.zeros(lanes, np.int64)
 
     def shift(at: np.ndarray) -> None:
-        words[at, place[at]] = low[at] >> _U32
-        low[at] = (low[at] & _LOW32) << _U16
-        place[at] += 1
-
-    for some in columns:
-        second, first = model.predict()
-        hit2 = some == model.p2
-        hit1 = (some == model.p1) & ~hit2
-        begin = np.where(hit2, 0, np.where(hit1, second, second + first)).astype(np.uint64)
-        size = np.where(hit2, second, np.where(hit1, first, 65536 - second - first)).astype(np.uint64)
+        now, to = low.take(at), place.take(at)
+        words[to] = now >> _U44
+        low[at] = (now & _LOW44) << _U16
+        place[at] = to + 1
+
+    for column in columns:
+        some = column.astype(np.int64)
+        second, first = model.predict(seen)
+        hit2, hit1 = some == model.p2, some == model.p1
+        missed = ~(hit1 | hit2)
+        octaves = of.take(some) * missed
+        inner = (some + 1 - (1 << octaves)) * missed
+        both = second + first
+        from_, to = model.span_of(octaves, both, (1 << 16) - both)
+        begin = np.where(missed, from_, second * ~hit2)
+        size = np.where(missed, to, np.where(hit2, second, both)) - begin
         unit = span >> _U16
-        low += unit * begin
-        span = unit * size
-        at = np.flatnonzero(span < _TOP)
-        if len(at):
+        low += unit * begin.view(np.uint64)
+        span = unit * size.view(np.uint64) >> octaves.view(np.uint64)
+        low += span * inner.view(np.uint64)
+        at = np.flatnonzero(span <= _TOP)
+        while len(at):
             shift(at)
-            span[at] <<= _U16
-        rest = np.flatnonzero(~(hit1 | hit2))
-        if len(rest):
-            begin, size = model.share(rest, some[rest])
-            unit = span[rest] >> _U20
-            low[rest] += unit * begin
-            span[rest] = unit * size
-            while len(at := rest[span[rest] < _TOP]):
-                shift(at)
-                span[at] <<= _U16
-        model.update(some)
+            now = span.take(at) << _U16
+            span[at] = now
+            at = at[now <= _TOP]
+        model.update(some, hit1, hit2, missed, octaves)
+        seen = some
     every = np.arange(lanes)
-    for _ in range(3):
+    for _ in range(4):
         shift(every)
-    while (over := words >> np.uint32(16)).any():
-        words &= np.uint32(0xFFFF)
-        words[:, :-1] += over[:, 1:]
-    packed = words.astype("<u2")
-    return [packed[i, : place[i]].tobytes() for i in range(lanes)]
+    sizes = place - begin_of
+    kept = words.reshape(lanes, width)[:, : int(sizes.max())]
+    while (over := kept >> np.uint32(16)).any():
+        kept = kept & np.uint32(0xFFFF)
+        kept[:, :-1] += over[:, 1:]
+    packed = kept.astype("<u2")
+    return [packed[i, : sizes[i]].tobytes() for i in range(lanes)]
 
 
-def decode(blocks: list[bytes], length: int) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.int32), *[_decode(blocks[a : a + LANES], length) for a in range(0, len(blocks), LANES)]])
+def decode(blocks: list[bytes], length: int, counts: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int32), *[_decode(blocks[a : a + LANES], length, counts) for a in range(0, len(blocks), LANES)]])
 
 
-def _decode(blocks: list[bytes], length: int) -> np.ndarray:
+def _decode(blocks: list[bytes], length: int, counts: np.ndarray) -> np.ndarray:
     lanes = len(blocks)
-    model = _Model(lanes)
-    words = np.zeros((lanes, max(len(b) for b in blocks) // 2 + 4), np.uint64)
+    model = _Model(lanes, counts)
+    words = np.zeros((lanes, max(len(b) for b in blocks) // 2 + 6), np.uint16)
     for i, b in enumerate(blocks):
         words[i, : len(b) // 2] = np.frombuffer(b, "<u2")
-    code = words[:, 0] << _U32 | words[:, 1] << _U16 | words[:, 2]
-    span, place = np.full(lanes, 1 << 48, np.uint64), np.full(lanes, 3, np.int64)
-    last = words.shape[1] - 1
-    out = np.empty((length, lanes), np.int32)
-
-    def shift(at: np.ndarray) -> None:
-        code[at] = code[at] << _U16 | words[at, np.minimum(place[at], last)]
-        span[at] <<= _U16
-        place[at] += 1
-
+    code = words[:, 0].astype(np.uint64) << _U44 | words[:, 1].astype(np.uint64) << np.uint64(28) | words[:, 2].astype(np.uint64) << np.uint64(12) | words[:, 3].astype(np.uint64) >> np.uint64(4)
+    next_ = ((words[:, 3:-1] & np.uint16(15)) << np.uint16(12) | words[:, 4:] >> np.uint16(4)).astype(np.uint64)  # 60 bits are held at once
+    flat, row = next_.reshape(-1), np.arange(lanes, dtype=np.int64) * next_.shape[1]
+    place, last = row.copy(), row + next_.shape[1] - 1
+    span = np.full(lanes, _SPAN, np.uint64)
+    out, seen = np.empty((length, lanes), np.int32), np.zeros(lanes, np.int64)
     for t in range(length):
-        second, first = model.predict()
+        second, first = model.predict(seen)
+        both = second + first
+        rest = (1 << 16) - both
         unit = span >> _U16
-        value = np.minimum(code // unit, np.uint64(65535)).astype(np.int64)
-        hit2 = value < second
-        missed = value >= second + first
-        begin = np.where(hit2, 0, np.where(missed, second + first, second)).astype(np.uint64)
-        size = np.where(hit2, second, np.where(missed, 65536 - second - first, first)).astype(np.uint64)
-        code -= unit * begin
-        span = unit * size
-        at = np.flatnonzero(span < _TOP)
-        if len(at):
-            shift(at)
-        some = np.where(hit2, model.p2, model.p1)
-        rest = np.flatnonzero(missed)
-        if len(rest):
-            unit = span[rest] >> _U20
-            found = model.find(rest, np.minimum(code[rest] // unit, np.uint64((1 << 20) - 1)))
-            some[rest] = found
-            begin, size = model.share(rest, found)
-            code[rest] -= unit * begin
-            span[rest] = unit * size
-            while len(at := rest[span[rest] < _TOP]):
-                shift(at)
+        value = np.minimum(code // unit, np.uint64(65535)).view(np.int64)
+        right2, missed = value < second, value >= both
+        octaves = model.find(value, both, rest) * missed
+        from_, to = model.span_of(octaves, both, rest)
+        begin = np.where(missed, from_, second * ~right2)
+        size = np.where(missed, to, np.where(right2, second, both)) - begin
+        code -= unit * begin.view(np.uint64)
+        span = unit * size.view(np.uint64) >> octaves.view(np.uint64)
+        inner = np.minimum((code // span).view(np.int64), (1 << octaves) - 1)
+        code -= span * inner.view(np.uint64)
+        at = np.flatnonzero(span <= _TOP)
+        while len(at):
+            from_at = place.take(at)
+            code[at] = code.take(at) << _U16 | flat.take(np.minimum(from_at, last.take(at)))
+            place[at] = from_at + 1
+            now = span.take(at) << _U16
+            span[at] = now
+            at = at[now <= _TOP]
+        some = np.where(missed, (1 << octaves) - 1 + inner, np.where(right2, model.p2, model.p1))
         out[t] = some
-        model.update(some)
+        model.update(some, some == model.p1, some == model.p2, missed, octaves)
+        seen = some
     return out.T.reshape(-1)

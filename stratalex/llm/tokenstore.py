@@ -3,22 +3,30 @@
 A folder holds Parquet rows (shard, segment, before, n_docs, n_ids, payload). A payload is one segment in this
 library's own binary format and can be read by itself:
 
-  magic "SLT1"; format, block length, documents, blocks: uint32; ids: uint64; crc32 of what follows up to the blocks
+  magic "SLT2"; format, block length, documents, blocks, distinct ids: uint32; ids: uint64; crc32 of what follows up to the blocks
   doc_id int64 and a null flag byte for each document; ids uint32 for each document
-  coded bytes uint32 and crc32 of the block's ids (uint32 each) for each block; then the coded blocks
+  coded bytes uint32 and crc32 of the block's ids (uint32 each) for each block; how many ids fall into each of 24 octaves
+  of ranks: uint32; the distinct ids uint32, most frequent first (an id's place is the rank that is coded); then the coded blocks
 
 All integers are little-endian. Segments hold whole documents, in ascending doc_id order over the folder (nulls
 first, then by text for equal ids); `before` is the ids of the same shard before the segment. Spark's writer commits
-the folder, so a lost executor leaves no half-written file behind.
+the folder, so a lost executor leaves no half-written file behind. Blocks shorten with the segment, so that a small one
+still has many to advance together; the length is in the header.
 
-Defined cases: a null text counts as empty and has the end id alone; equal rows are stored each; an empty table makes
-an empty folder; a text of any length stays in one segment, whose blocks keep their length; other columns are left
+Texts are encoded by the tokenizers library with add_special_tokens=False. Where its file says byte-level BPE with the usual
+split and nothing else, a text is cut at each single space or newline between two other characters, where no pre-token can
+reach across, and the ids of recent parts are remembered; a text that holds an added token goes to the library whole.
+
+Defined cases: a null text counts as empty and has the end id alone; equal rows are stored each, in either order; an empty table
+makes an empty folder; a text of any length stays in one segment, whose blocks keep their length; other columns are left
 aside. A damaged header or block raises ValueError.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -26,7 +34,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,89 +41,190 @@ from pyspark.sql import functions as F
 from . import rangecoder
 from .base import SLICE_BYTES, pick, slices
 
-MAGIC, FORMAT, END_ID = b"SLT1", 1, 0
+MAGIC, FORMAT, END_ID = b"SLT2", 2, 0
 #: Ids after which a segment is closed.
 SEGMENT = rangecoder.LANES * rangecoder.BLOCK
-_HEAD = struct.Struct("<4sIIIIQI")
-#: Pre-tokens whose ids are remembered, and their longest.
-REMEMBERED, REMEMBERED_CHARS = 1 << 18, 64
+_HEAD = struct.Struct("<4sIIIIIQI")
+#: Parts remembered in each of two generations, and their longest; the older generation goes when the younger is full.
+GENERATION, REMEMBERED_CHARS = 1 << 19, 48
+#: White space but space and newline, and what some readings count as such.
+RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+#: A single space between two characters that are no white space in any reading.
+SPACE = re.compile("(?<=[^\\s\x1c-\x1f\u180e\u200b\ufeff]) (?=[^\\s\x1c-\x1f\u180e\u200b\ufeff])")
+#: Parts whose pre-tokens are plain: a newline, letters, marks.
+PLAIN = re.compile("([\n\r]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
+#: Pieces that one call of the library takes.
+CALL = 1024
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if visible, else from U+0100 on in order."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 SCHEMA = "shard int, segment int, before long, n_docs long, n_ids long, payload binary"
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizers file; equal pre-tokens are encoded once and remembered."""
+    """Ids of whole texts by a tokenizers file."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.split, self.known = regex.compile(pattern).findall, {}
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        split = parts.get("pre_tokenizer") or {}
+        plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        self.by_parts = plain and parts["model"]["type"] == "BPE" and not parts.get("normalizer") and not parts.get("truncation") and not parts.get("padding")
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.model, self.letters = Tokenizer(self.library.model), _byte_letters()
+        self.newline = self.model.token_to_id(self.letters[10])
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _coded(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of single pre-tokens without newlines by the library's model, many in a call, with a newline after each."""
+        spelt = [x for p in pieces for x in (p.encode().decode("latin-1").translate(self.letters), self.letters[10])]
+        out = []
+        for made in self.model.encode_batch_fast([spelt[k : k + CALL] for k in range(0, len(spelt), CALL)], is_pretokenized=True, add_special_tokens=False):
+            ids = np.array(made.ids, np.uint32)
+            raw, ends = ids.tobytes(), np.flatnonzero(ids == self.newline).tolist()
+            out += [raw[4 * a : 4 * b] for a, b in zip([0, *[e + 1 for e in ends]], ends)]
+        return out
+
+    def _learn(self, keys: set[str]) -> None:
+        """Remembers the ids of parts."""
+        joined, pieces, others = {}, set(), []
+        for k in keys:
+            if plain := PLAIN(k):
+                mark, word, after = plain.groups()
+                if not mark and not after:
+                    pieces.add(k)
+                    continue
+                parts = ["\n"] if mark == "\n" else []
+                parts.append("\r" + word if mark else word)
+                if after:
+                    parts.append("\r" + after)
+                pieces.update(parts)
+                if len(parts) > 1:
+                    joined[k] = parts
+            else:
+                others.append(k)
+        if "\n" in pieces:
+            others.append("\n")
+        pieces = pieces.difference(self.young, ["\n"])
+        again = self.old.keys() & pieces
+        self.young.update((p, self.old[p]) for p in again)
+        new = list(pieces.difference(again))
+        self.young.update(zip(new, self._pieces([_said(p) for p in new])))
+        self.young.update(zip(others, self._coded([_said(k) for k in others])))
+        for k, parts in joined.items():
+            self.young[k] = b"".join([self.young[p] for p in parts])
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """Packed 16-bit ids of each text, with the end id."""
-        parts = [self.split(t) if t else [] for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = [p for p in {p for some in parts for p in some} if p not in known]
-        made = {p: array("H", e.ids).tobytes() for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False))}
-        known.update(made)
-        end = array("H", [END_ID]).tobytes()
-        out = [b"".join(map(known.__getitem__, some)) + end for some in parts]
-        for p in made:
+        """Ids of each text as unsigned 32-bit integers, with the end id."""
+        end = array("I", [END_ID]).tobytes()
+        whole = [i for i, t in enumerate(texts) if t and (not self.by_parts or any(a in t for a in self.added))]
+        out = dict(zip(whole, self._coded([texts[i] for i in whole])))
+        split = {i: parts_of(t) for i, t in enumerate(texts) if t and i not in out}
+        needed = set().union(*split.values()).difference(self.young)
+        if needed:
+            if len(self.young) > GENERATION:
+                self.old, self.young = self.young, {}
+                needed.update(*split.values())
+            again = self.old.keys() & needed
+            self.young.update((p, self.old[p]) for p in again)
+            self._learn(needed.difference(again))
+        known = self.young.__getitem__
+        made = [b"".join(map(known, split[i])) + end if i in split else out.get(i, b"") + end for i in range(len(texts))]
+        for p in needed:
             if len(p) > REMEMBERED_CHARS:
-                del known[p]
-        return out
+                del self.young[p]
+        return made
+
+
+def parts_of(text: str) -> list[str]:
+    """A text as parts that no pre-token crosses: "\r" and the first, "\n" and one after a newline, or one after a space, without it."""
+    if text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or RARE_SPACE.search(text):
+        parts = SPACE.split(text)
+    else:
+        parts = text.replace("\n", " \n").split(" ")
+    parts[0] = "\r" + parts[0]
+    return parts
+
+
+def _said(part: str) -> str:
+    return part[1:] if part[0] == "\r" else part if part[0] == "\n" else " " + part
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(path, pattern)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def pack(doc_ids: list[int | None], texts: list[bytes]) -> bytes:
-    """One segment from documents' packed 16-bit ids."""
-    ids = np.frombuffer(b"".join(texts), np.uint16)
+    """One segment from documents' ids, unsigned 32-bit integers."""
+    ids = np.frombuffer(b"".join(texts), np.uint32)
     length = rangecoder.block_length(len(ids))
-    blocks = rangecoder.encode(ids.astype(np.int32), length)
-    sums = [zlib.crc32(ids[k : k + length].astype("<u4").tobytes()) for k in range(0, len(ids), length)]
+    found, place = _distinct(ids)
+    ranks = place.take(ids) if len(found) else np.zeros(0, np.int32)
+    octaves = rangecoder.octave_counts(ranks)
+    blocks = rangecoder.encode(ranks, length, octaves)
+    sums = [zlib.crc32(ids[k : k + length].astype("<u4")) for k in range(0, len(ids), length)]
     table = b"".join([
         np.array([i or 0 for i in doc_ids], "<i8").tobytes(),
         bytes(i is None for i in doc_ids),
-        np.array([len(t) // 2 for t in texts], "<u4").tobytes(),
+        np.array([len(t) // 4 for t in texts], "<u4").tobytes(),
         np.array([len(b) for b in blocks], "<u4").tobytes(),
         np.array(sums, "<u4").tobytes(),
+        np.pad(octaves, (0, rangecoder.OCTAVES - len(octaves))).astype("<u4").tobytes(),
+        found.astype("<u4").tobytes(),
     ])
-    head = _HEAD.pack(MAGIC, FORMAT, length, len(doc_ids), len(blocks), len(ids), zlib.crc32(table))
+    head = _HEAD.pack(MAGIC, FORMAT, length, len(doc_ids), len(blocks), len(found), len(ids), zlib.crc32(table))
     return head + table + b"".join(blocks)
 
 
+def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, most frequent first, and the rank of each id up to the greatest."""
+    counts = np.bincount(ids, minlength=1)
+    found = np.flatnonzero(counts)
+    found = found[np.argsort(-counts[found], kind="stable")]
+    place = np.zeros(len(counts), np.int32)
+    place[found] = np.arange(len(found), dtype=np.int32)
+    return found, place
+
+
 def unpack(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     """doc_ids, ids of each document (counts), all ids in order."""
-    magic, kind, length, documents, blocks, total, check = _HEAD.unpack_from(payload)
+    magic, kind, length, documents, blocks, distinct, total, check = _HEAD.unpack_from(payload)
     if magic != MAGIC or kind != FORMAT:
         raise ValueError("not a segment of this format")
     at = _HEAD.size
-    size = documents * 13 + blocks * 8
+    size = documents * 13 + blocks * 8 + (rangecoder.OCTAVES + distinct) * 4
     if zlib.crc32(payload[at : at + size]) != check:
         raise ValueError("the segment's tables are damaged")
-    doc_ids = np.frombuffer(payload, "<i8", documents, at)
-    nulls = np.frombuffer(payload, np.uint8, documents, at + 8 * documents)
-    counts = np.frombuffer(payload, "<u4", documents, at + 9 * documents)
-    sizes = np.frombuffer(payload, "<u4", blocks, at + 13 * documents)
-    sums = np.frombuffer(payload, "<u4", blocks, at + 13 * documents + 4 * blocks)
+    take = lambda kind, n, after: np.frombuffer(payload, kind, n, at + after)
+    doc_ids, nulls, counts = take("<i8", documents, 0), take(np.uint8, documents, 8 * documents), take("<u4", documents, 9 * documents)
+    sizes, sums = take("<u4", blocks, 13 * documents), take("<u4", blocks, 13 * documents + 4 * blocks)
+    octaves, found = take("<u4", rangecoder.OCTAVES, 13 * documents + 8 * blocks), take("<u4", distinct, 13 * documents + 8 * blocks + 4 * rangecoder.OCTAVES)
     ends = at + size + np.cumsum(sizes.astype(np.int64))
     coded = [payload[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist())]
-    ids = rangecoder.decode(coded, length)[:total].astype("<u4")
+    ranks = rangecoder.decode(coded, length, octaves[: int(np.flatnonzero(octaves).max(initial=0)) + 1])[:total]
+    ids = found.take(ranks, mode="clip") if len(ranks) else np.zeros(0, "<u4")
     for k, want in enumerate(sums.tolist()):
-        if zlib.crc32(ids[k * length : (k + 1) * length].tobytes()) != want:
+        if zlib.crc32(ids[k * length : (k + 1) * length]) != want:
             raise ValueError(f"block {k} is damaged")
     return [None if none else i for i, none in zip(doc_ids.tolist(), nulls.tolist())], counts, ids
 
 
-def write(documents: DataFrame, path: str, vocabulary: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> None:
+def write(documents: DataFrame, path: str, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> None:
     """Writes the ids of every document to `path`. Equal doc_ids are dealt out by their texts, so none makes a partition hot."""
     rows = pick(documents, doc_id=doc_id, text=text).withColumn("h", F.xxhash64("text"))
     rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
@@ -133,11 +241,11 @@ def write(documents: DataFrame, path: str, vocabulary: str, pattern: str, doc_id
 
         for batch in batches:
             for part in slices(batch):
-                made = encoder(vocabulary, pattern)(part.column(1).to_pylist())
+                made = encoder(vocabulary)(part.column(1).to_pylist())
                 for i, packed in zip(part.column(0).to_pylist(), made):
                     held_ids.append(i)
                     held.append(packed)
-                    size += len(packed) // 2
+                    size += len(packed) // 4
                     if size >= SEGMENT:
                         yield close()
                         segment, before = segment + 1, before + size
