@@ -1,24 +1,28 @@
 """Stupid-backoff language-model scores, computed relationally.
 
-Words are counted, and so are pairs of words that follow each other, over all documents; pairs counted fewer than
-`least` times are no evidence, which is when a score backs off:
+N-grams of one to `order` words are counted over all documents. A document is scored by the counts of all others: c is
+an n-gram's count without the document's own. A word's score takes the longest n-gram that ends with it and is counted
+`least` times or more, and pays `backoff` for each shorter step:
 
-  S(b | a) = c(a b) / c(a)  if the pair is kept, else  backoff * c(b) / N;  S(first word) = c(word) / N
+  S = backoff ** steps * c(n-gram) / c(n-gram without its last word);  for one word: max(c(word), 1) / words of the others
 
-A document's score is the sum of log S over its words. The steps are relations between tables in a vectorised form:
+A document's score is the sum of log S over its words. The relations:
 
 1. chunks: documents are cut into words; a chunk of about `chunk_words` words holds them as places in its own sorted
    vocabulary of 64-bit hashes. Chunks are written once, so that later steps see the same ones.
-2. requests: each chunk sends its distinct n-grams with its own counts to the parts of the count tables, which are dealt
-   by the leading bits of the hash. A part sees an n-gram once a chunk at most, so that no n-gram is hot.
-3. answers: a part adds up the counts of its n-grams and answers each chunk, in the order of its request.
-4. scores: each chunk joins the answers to its n-grams and sums by document.
-
-A part holds about `part_keys` requested n-grams. For much larger corpora raise both sizes together: rows exchanged are
-chunks times parts, and both fit a task's memory up to some 2^24.
-
-Defined cases: a null, empty or blank text has no words, score 0 and a null mean; equal rows give equal rows each; null
-ids are kept; an empty table gives an empty result; very long texts count whole, in one chunk; other columns are left aside.
+2. occurrences (key, chunk, own): a row for each distinct n-gram of a chunk with its count there, so that no n-gram is
+   hot: it has a row a chunk at most. An n-gram of three words or more is a row only if both n-grams of one word less
+   in it are counted in other documents; otherwise it cannot be.
+3. counts (key, total): occurrences summed by key, partitioned by its hash.
+4. told (chunk, key, total): occurrences joined to counts on the key, where other chunks have the n-gram too.
+5. scores: each chunk meets its told rows, by a shuffle on the chunk, and sums by document.
+
+Everything grows with the n-grams of the corpus and nothing with a square. An n-gram is told by a 64-bit hash: among
+10^13 distinct ones a given n-gram shares its hash with another with a probability of 5e-7.
+
+Defined cases: a null, empty or blank text has no words, score 0 and a null mean; equal rows are documents of their own and
+give equal rows each; null ids are kept; an empty table gives an empty result; the words of a table with one document
+count 1 each; very long texts count whole, in one chunk; other columns are left aside.
 """
 
 from __future__ import annotations
@@ -33,13 +37,14 @@ from pyspark.sql import functions as F
 
 from .base import bound_batches, cut, pick, slices
 
-BACKOFF, LEAST = 0.4, 2
-CHUNK_WORDS, PART_KEYS, LEAST_PARTS = 3 << 18, 1 << 20, 64
-_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+ORDER, BACKOFF, LEAST = 3, 0.4, 1
+CHUNK_WORDS = 1 << 21
+#: Rows of an Arrow batch of occurrences.
+ROWS = 1 << 16
+_A, _B, _S = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(29)
 
 CHUNK = "chunk long, n_words long, doc_ids array<long>, sizes binary, vocabulary binary, words binary"
-REQUEST = "part int, n int, chunk long, keys binary, counts binary"
-ANSWER = "chunk long, n int, part int, totals binary"
+OCCURRENCE = "key long, chunk long, own int"
 SCORE = "doc_id long, n_words long, n_backoff long, log_score double"
 
 
@@ -65,7 +70,14 @@ def unpack_keys(raw: bytes) -> np.ndarray:
     return np.cumsum(from_planes(raw, np.uint64), dtype=np.uint64)
 
 
-def _chunks(batches):
+def _chunks(chunk_words: int):
+    def run(batches):
+        return _cut_chunks(batches, chunk_words)
+
+    return run
+
+
+def _cut_chunks(batches, chunk_words: int):
     number, seen, words, ids, sizes = TaskContext.get().partitionId() << 32, {}, [], [], []
 
     def close():
@@ -84,7 +96,7 @@ def _chunks(batches):
                 words += [seen.setdefault(w, len(seen)) for w in found]
                 ids.append(i)
                 sizes.append(len(found))
-                if len(words) >= CHUNK_WORDS:
+                if len(words) >= chunk_words:
                     yield close()
                     number, seen, words, ids, sizes = number + 1, {}, [], [], []
     if ids:
@@ -92,87 +104,128 @@ def _chunks(batches):
 
 
 class _Chunk:
-    def __init__(self, sizes: bytes, vocabulary: bytes, words: bytes):
-        self.sizes = np.frombuffer(sizes, np.uint32).astype(np.int64)
-        self.vocabulary, self.words = unpack_keys(vocabulary), from_planes(words, np.uint32)
-        self.document = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.follows = np.flatnonzero(np.diff(self.document, prepend=-1) == 0)  # places of words that have one before
-
-    def pair_keys(self) -> np.ndarray:
-        hashes = self.vocabulary[self.words]
-        return hashes[self.follows - 1] * _A + hashes[self.follows] * _B
-
-
-def _parted(keys: np.ndarray, bits: int):
-    """(part, from, to) of sorted keys, by their leading bits."""
-    edges = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist()
-    for part, (a, b) in enumerate(zip(edges, [*edges[1:], len(keys)])):
-        if a < b:
-            yield part, a, b
+    """N-grams of a chunk, level by level: level(n) must follow level(n - 1)."""
 
+    def __init__(self, sizes: bytes, vocabulary: bytes, words: bytes, told: pa.Table | None, least: int):
+        self.sizes, self.least = np.frombuffer(sizes, np.uint32).astype(np.int64), least
+        self.hashes = unpack_keys(vocabulary)[from_planes(words, np.uint32)]
+        self.document = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.place = np.arange(len(self.hashes)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)  # of a word in its document
+        self.told = None
+        if told is not None:
+            keys, totals = np.asarray(told.column("key")).view(np.uint64), np.asarray(told.column("total"))
+            order = np.argsort(keys)
+            self.told = keys[order], totals[order]
+
+    def level(self, n: int) -> None:
+        """keys: distinct n-grams, own: their counts here, ends: places of the last words of those that may be counted elsewhere."""
+        if n == 1:
+            self.grams, self.ends = self.hashes, np.arange(len(self.hashes))
+        else:
+            grams = np.zeros_like(self.grams)
+            grams[1:] = self.grams[:-1] * _A + self.hashes[1:] * _B
+            self.grams = grams ^ grams >> _S
+            may = self.place >= n - 1
+            if n > 2:
+                may[1:] &= (self.met[1:] >= self.least) & (self.met[:-1] >= self.least)
+            self.ends = np.flatnonzero(may)
+        self.keys, self.at, self.own = np.unique(self.grams[self.ends], return_inverse=True, return_counts=True)
+
+    def count(self) -> None:
+        """met: for each place, the count of the n-gram that ends there in all other documents."""
+        total = self.own.copy()
+        if len(self.told[0]):
+            where = np.minimum(np.searchsorted(self.told[0], self.keys), len(self.told[0]) - 1)
+            total = np.where(self.told[0][where] == self.keys, self.told[1][where], total)
+        pair = self.at * len(self.sizes) + self.document[self.ends]
+        _, at, mine = np.unique(pair, return_inverse=True, return_counts=True)
+        self.met = np.zeros(len(self.hashes), np.int64)
+        self.met[self.ends] = total[self.at] - mine[at]
+
+
+def _rows(chunk: _Chunk, number: int):
+    for k in range(0, len(chunk.keys), ROWS):
+        keys, own = chunk.keys[k : k + ROWS].view(np.int64), chunk.own[k : k + ROWS].astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), number)), pa.array(own)], names=["key", "chunk", "own"])
+
+
+def _occurrences(order: int):
+    """N-grams of one and two words."""
 
-def _requests(bits: int):
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                number, sizes, vocabulary, words = (batch.column(c)[k].as_py() for c in range(4))
-                chunk = _Chunk(sizes, vocabulary, words)
-                single = np.bincount(chunk.words, minlength=len(chunk.vocabulary))
-                pairs, counts = np.unique(chunk.pair_keys(), return_counts=True)
-                rows = [(part, n, number, pack_keys(keys[a:b]), planes(c[a:b].astype(np.uint32))) for n, keys, c in ((1, chunk.vocabulary, single), (2, pairs, counts)) for part, a, b in _parted(keys, bits)]
-                columns = list(zip(*rows)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()])], names=["part", "n", "chunk", "keys", "counts"])
+                number, *stored = (batch.column(c)[k].as_py() for c in range(4))
+                chunk = _Chunk(*stored, None, 1)
+                for n in range(1, min(order, 2) + 1):
+                    chunk.level(n)
+                    yield from _rows(chunk, number)
 
     return run
 
 
-def _answers(least: int):
-    def run(rows: pa.Table) -> pa.Table:
-        keys = [unpack_keys(k) for k in rows.column("keys").to_pylist()]
-        counts = [from_planes(c, np.uint32).astype(np.uint64) for c in rows.column("counts").to_pylist()]
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.zeros(len(distinct), np.uint64)
-        np.add.at(total, place, np.concatenate(counts))
-        if rows.column("n")[0].as_py() > 1:
-            total[total < least] = 0
-        ends = np.cumsum([len(k) for k in keys])
-        answers = [planes(total[place[e - len(k) : e]]) for k, e in zip(keys, ends)]
-        return pa.table({"chunk": rows.column("chunk"), "n": rows.column("n"), "part": rows.column("part"), "totals": pa.array(answers, pa.binary())})
+def _longer(n: int, least: int):
+    """N-grams of n words, of which those of n - 1 words are counted elsewhere."""
+
+    def run(chunks: pa.Table, told: pa.Table) -> pa.Table:
+        out = []
+        for k in range(chunks.num_rows):
+            chunk = _Chunk(*[chunks.column(c)[k].as_py() for c in ("sizes", "vocabulary", "words")], told, least)
+            for m in range(1, n):
+                chunk.level(m)
+                chunk.count()
+            chunk.level(n)
+            out += _rows(chunk, chunks.column("chunk")[k].as_py())
+        return pa.Table.from_batches(out, pa.schema([("key", pa.int64()), ("chunk", pa.int64()), ("own", pa.int32())]))
 
     return run
 
 
-def _scores(total: int, backoff: float):
-    def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
-        told = sorted(zip(answers.column("n").to_pylist(), answers.column("part").to_pylist(), answers.column("totals").to_pylist()), key=lambda r: r[:2])
-        single = np.concatenate([np.zeros(0), *[from_planes(t, np.uint64) for n, _, t in told if n == 1]]).astype(np.float64)
-        double = np.concatenate([np.zeros(0), *[from_planes(t, np.uint64) for n, _, t in told if n == 2]]).astype(np.float64)
+def _scores(order: int, least: int, total: int, backoff: float):
+    def run(chunks: pa.Table, told: pa.Table) -> pa.Table:
         out = []
         for k in range(chunks.num_rows):
-            chunk = _Chunk(*[chunks.column(c)[k].as_py() for c in ("sizes", "vocabulary", "words")])
-            own = single[chunk.words]
-            score = np.log(own / max(total, 1))
-            _, place = np.unique(chunk.pair_keys(), return_inverse=True)
-            met = double[place] if len(place) else np.zeros(0)
-            kept = met > 0
-            before = own[chunk.follows - 1]
-            score[chunk.follows] = np.where(kept, np.log(np.where(kept, met, 1) / before), score[chunk.follows] + np.log(backoff))
-            n = len(chunk.sizes)
-            backed = np.bincount(chunk.document[chunk.follows[~kept]], minlength=n)
-            summed = np.bincount(chunk.document, weights=score, minlength=n)
+            chunk = _Chunk(*[chunks.column(c)[k].as_py() for c in ("sizes", "vocabulary", "words")], told, least)
+            others = np.maximum(total - chunk.sizes, 1)
+            before = longest = None
+            for n in range(1, order + 1):
+                chunk.level(n)
+                chunk.count()
+                if n == 1:
+                    score = np.log(np.maximum(chunk.met, 1) / others[chunk.document])
+                    longest = np.ones(len(score), np.int64)
+                else:
+                    found = np.flatnonzero(chunk.met >= least)
+                    score[found] = np.log(chunk.met[found] / before[found - 1])
+                    longest[found] = n
+                before = chunk.met
+            steps = np.minimum(chunk.place + 1, order) - longest
+            score += steps * np.log(backoff)
+            size = len(chunk.sizes)
+            backed, summed = np.bincount(chunk.document[steps > 0], minlength=size), np.bincount(chunk.document, weights=score, minlength=size)
             out.append(pa.table({"doc_id": pa.array(chunks.column("doc_ids")[k].as_py(), pa.int64()), "n_words": pa.array(chunk.sizes), "n_backoff": pa.array(backed.astype(np.int64)), "log_score": pa.array(summed.astype(np.float64))}))
         return pa.concat_tables(out)
 
     return run
 
 
-def score(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST, backoff: float = BACKOFF, part_keys: int = PART_KEYS) -> DataFrame:
+def _told(occurrences: DataFrame) -> DataFrame:
+    """occurrences joined to their counts, both partitioned by the hash of the key, where other chunks have the n-gram too."""
+    parted = occurrences.repartition("key")
+    counts = parted.groupBy("key").agg(F.sum("own").alias("total"))
+    return parted.join(counts.withColumnRenamed("key", "counted"), F.col("key") == F.col("counted")).where("total > own").select("chunk", "key", "total")
+
+
+def score(df: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, least: int = LEAST, backoff: float = BACKOFF, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """doc_id, n_words, n_backoff (words scored by backing off), log_score and mean_log (log_score by n_words)."""
     bound_batches(df.sparkSession)
-    chunks = cut(pick(df, doc_id=doc_id, text=text).mapInArrow(_chunks, CHUNK), "chunks")
+    chunks = cut(pick(df, doc_id=doc_id, text=text).mapInArrow(_chunks(chunk_words), CHUNK), "chunks")
     total = chunks.agg(F.sum("n_words")).first()[0] or 0
-    bits = max(LEAST_PARTS, int(total) // part_keys).bit_length() - 1
-    requests = chunks.select("chunk", "sizes", "vocabulary", "words").mapInArrow(_requests(bits), REQUEST)
-    answers = requests.groupBy("part", "n").applyInArrow(_answers(least), ANSWER)
-    scored = chunks.drop("n_words").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scores(int(total), backoff), SCORE)
+    stored = chunks.select("chunk", "sizes", "vocabulary", "words")
+    told = _told(stored.mapInArrow(_occurrences(order), OCCURRENCE))
+    for n in range(3, order + 1):
+        told = cut(told, "told")
+        longer = stored.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_longer(n, least), OCCURRENCE)
+        told = told.unionAll(_told(longer))
+    scored = chunks.drop("n_words").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_scores(order, least, int(total), backoff), SCORE)
     return scored.withColumn("mean_log", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))

@@ -16,14 +16,16 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 BACKOFF = rf"""
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array({LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
-u AS (SELECT doc_id, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
-one AS (SELECT b AS word, count(*) AS n FROM u GROUP BY b),
-two AS (SELECT a, b, count(*) AS n FROM u WHERE a IS NOT NULL GROUP BY a, b HAVING count(*) >= 2),
-total AS (SELECT count(*) AS n FROM u),
-s AS (SELECT u.doc_id, u.a IS NOT NULL AND two.n IS NULL AS backed, CASE WHEN u.a IS NULL THEN ln(ob.n / total.n) WHEN two.n IS NOT NULL THEN ln(two.n / oa.n) ELSE ln(0.4 * ob.n / total.n) END AS score
-      FROM u JOIN one ob ON ob.word = u.b LEFT JOIN one oa ON oa.word = u.a LEFT JOIN two ON two.a = u.a AND two.b = u.b, total)
-SELECT doc_id, count(*) AS n_words, count(*) FILTER (backed) AS n_backoff, round(sum(score), 4) AS log_score, round(sum(score) / count(*), 6) AS mean_log FROM s GROUP BY doc_id
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array({LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+u AS (SELECT r, i, w[i] AS c, CASE WHEN i > 1 THEN w[i - 1] END AS b, CASE WHEN i > 2 THEN w[i - 2] END AS a, total - len(w) AS others
+      FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d), (SELECT sum(len(w)) AS total FROM d)),
+m AS (SELECT r, i, others, count(*) OVER (PARTITION BY c) - count(*) OVER (PARTITION BY r, c) AS n1,
+        CASE WHEN i > 1 THEN count(*) OVER (PARTITION BY b, c) - count(*) OVER (PARTITION BY r, b, c) ELSE 0 END AS n2,
+        CASE WHEN i > 2 THEN count(*) OVER (PARTITION BY a, b, c) - count(*) OVER (PARTITION BY r, a, b, c) ELSE 0 END AS n3 FROM u),
+k AS (SELECT *, lag(n1) OVER (PARTITION BY r ORDER BY i) AS before2, lag(n2) OVER (PARTITION BY r ORDER BY i) AS before3, least(i, 3) - CASE WHEN n3 > 0 THEN 3 WHEN n2 > 0 THEN 2 ELSE 1 END AS steps FROM m),
+s AS (SELECT r, steps, steps * ln(0.4) + CASE WHEN n3 > 0 THEN ln(n3 / before3) WHEN n2 > 0 THEN ln(n2 / before2) ELSE ln(greatest(n1, 1) / greatest(others, 1)) END AS score FROM k),
+t AS (SELECT r, count(*) AS n, count(*) FILTER (steps > 0) AS backed, sum(score) AS total FROM s GROUP BY r)
+SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(backed, 0) AS n_backoff, round(coalesce(total, 0), 4) AS log_score, round(total / n, 6) AS mean_log FROM d LEFT JOIN t USING (r)
 """
 
 ORACLES = {"op2_decontaminate": DECONTAMINATE, "op8_ngrams": BACKOFF}

@@ -12,17 +12,24 @@ from stratalex.llm import licences, ngrams, queries, shards
 from stratalex.llm.base import table
 
 
-def brute_lm(rows, least=2, backoff=0.4):
+def brute_lm(rows, order=3, least=1, backoff=0.4):
     split = [(i, WORD.findall((t or "").translate(LOWER))) for i, t in rows]
-    one, two = Counter(w for _, ws in split for w in ws), Counter(p for _, ws in split for p in zip(ws, ws[1:]))
-    total = sum(one.values())
+    grams = lambda ws: Counter(tuple(ws[k - n : k]) for n in range(1, order + 1) for k in range(n, len(ws) + 1))
+    every, total = Counter(), sum(len(ws) for _, ws in split)
+    for _, ws in split:
+        every.update(grams(ws))
     for i, ws in split:
-        score, backed = (math.log(one[ws[0]] / total) if ws else 0.0), 0
-        for a, b in zip(ws, ws[1:]):
-            if two[a, b] >= least:
-                score += math.log(two[a, b] / one[a])
-            else:
-                score, backed = score + math.log(backoff * one[b] / total), backed + 1
+        own = grams(ws)
+        others, score, backed = max(total - len(ws), 1), 0.0, 0
+        for k in range(1, len(ws) + 1):
+            top = min(k, order)
+            for n in range(top, 0, -1):
+                g = tuple(ws[k - n : k])
+                met = every[g] - own[g]
+                if n == 1 or met >= least:
+                    score += math.log(max(met, 1) / others if n == 1 else met / (every[g[:-1]] - own[g[:-1]])) + (top - n) * math.log(backoff)
+                    backed += n < top
+                    break
         yield i, len(ws), backed, score
 
 
@@ -39,15 +46,23 @@ def test_op8_brute_force(spark, data):
     close(queries.op8_ngrams(spark, data), list(brute_lm(texts(table(spark, data, "documents")))))
 
 
-@pytest.mark.parametrize("keys", [16, 1 << 20])
-def test_op8_odd_rows(spark, odd, clashing, keys):
-    close(ngrams.score(clashing, part_keys=keys), list(brute_lm(texts(odd))))
+@pytest.mark.parametrize("order, least, chunk_words", [(3, 1, 1 << 21), (4, 1, 50), (2, 2, 1000), (1, 1, 7), (5, 3, 300)])
+def test_op8_odd_rows(spark, odd, clashing, order, least, chunk_words):
+    close(ngrams.score(clashing, order=order, least=least, chunk_words=chunk_words), list(brute_lm(texts(odd), order, least)))
+
+
+def test_op8_without_words(spark, odd):
     assert ngrams.score(odd.limit(0)).count() == 0
     blank = odd.where("doc_id in (0, 1, 2, 3)")  # no words, and single words only
     close(ngrams.score(blank), list(brute_lm(texts(blank))))
     assert [r["mean_log"] for r in ngrams.score(odd.where("doc_id = 0")).collect()] == [None]
 
 
+def test_op8_joins_counts_to_occurrences(spark, data):
+    text = queries.op8_ngrams(spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert re.search("SortMergeJoin|HashJoin", text)
+
+
 def brute_licences(rows):
     """rows: (doc_id, text, path)"""
     bodies = [(t or "").translate(LOWER) for _, t, _ in rows]
