@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .base import bound_batches, cut, pick, slices
 
 ORDER, BACKOFF, LEAST = 3, 0.4, 1
-CHUNK_WORDS = 1 << 21
+CHUNK_WORDS = 1 << 20
 #: Rows of an Arrow batch of occurrences.
 ROWS = 1 << 16
 _A, _B, _S = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(29)
@@ -210,10 +210,11 @@ def _scores(order: int, least: int, total: int, backoff: float):
 
 
 def _told(occurrences: DataFrame) -> DataFrame:
-    """occurrences joined to their counts, both partitioned by the hash of the key, where other chunks have the n-gram too."""
-    parted = occurrences.repartition("key")
-    counts = parted.groupBy("key").agg(F.sum("own").alias("total"))
-    return parted.join(counts.withColumnRenamed("key", "counted"), F.col("key") == F.col("counted")).where("total > own").select("chunk", "key", "total")
+    """occurrences joined to their counts, both partitioned by the hash of the key, where other chunks have the n-gram too.
+    Both sides read the same columns, so that they share one exchange."""
+    parted = occurrences.where("key is not null and own is not null").repartition("key")
+    counts = parted.groupBy("key").agg(F.sum("own").alias("total"), F.count("chunk").alias("chunks")).where("chunks > 1")
+    return parted.join(counts.select(F.col("key").alias("counted"), "total"), F.col("key") == F.col("counted")).where("total > own").select("chunk", "key", "total")
 
 
 def score(df: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, least: int = LEAST, backoff: float = BACKOFF, chunk_words: int = CHUNK_WORDS) -> DataFrame:
@@ -221,11 +222,11 @@ def score(df: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int
     bound_batches(df.sparkSession)
     chunks = cut(pick(df, doc_id=doc_id, text=text).mapInArrow(_chunks(chunk_words), CHUNK), "chunks")
     total = chunks.agg(F.sum("n_words")).first()[0] or 0
-    stored = chunks.select("chunk", "sizes", "vocabulary", "words")
-    told = _told(stored.mapInArrow(_occurrences(order), OCCURRENCE))
+    told = _told(chunks.select("chunk", "sizes", "vocabulary", "words").mapInArrow(_occurrences(order), OCCURRENCE))
+    stored = chunks.drop("n_words")  # all levels share one exchange of these
     for n in range(3, order + 1):
         told = cut(told, "told")
         longer = stored.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_longer(n, least), OCCURRENCE)
         told = told.unionAll(_told(longer))
-    scored = chunks.drop("n_words").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_scores(order, least, int(total), backoff), SCORE)
+    scored = stored.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_scores(order, least, int(total), backoff), SCORE)
     return scored.withColumn("mean_log", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))
