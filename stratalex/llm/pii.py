@@ -9,12 +9,16 @@ validates what it found. Base kinds follow fixed patterns, leftmost and non-over
   card   digits with single spaces or hyphens between, 14 to 19 of them, with a right Luhn sum
   phone  + and a digit, then digits, spaces, brackets, dots and hyphens to a last digit, 10 to 15 digits
 
-The anchors add: url (a URL with user data before its host), secret (a key, token or password after its cue, or a
-key with a known prefix) and account (an account number after its cue). Base spans are never changed by these.
+The anchors add: url (a URL with user data before its host), secret (a key, token or password after its cue, a key with a
+known prefix, a JSON web token, a private key block) and account (an account number after its cue, or an IBAN whose check
+digits are right). Base spans are never changed by these.
 
-Defined cases: a null or empty text has no spans; a very long text is scanned whole in linear time; equal rows
-give equal rows; other columns pass through, except those named like an output. Positions are code points,
-end exclusive; spans are ordered by start, then kind as listed.
+Each text is scanned in linear time: how far a run of characters goes is remembered for its later starts, and what has a
+greatest length is read no further.
+
+Defined cases: a null or empty text has no spans; a very long text is scanned whole; equal rows give equal rows; an empty
+table gives an empty result; other columns pass through, except those named like an output. Positions are code points,
+end exclusive; spans are ordered by start, then kind as listed, then end.
 """
 
 from __future__ import annotations
@@ -39,16 +43,32 @@ _LABEL = _ALNUM | frozenset("-")
 _PHONE = _DIGITS | frozenset(" ().-")
 _URL_END = frozenset(" \t\n\r\x0b\x0c<>\"'`{}|\\^")
 _VALUE = _ALNUM | frozenset("_+/=.-")
-_SECRET_CUES = ("password", "passwd", "token", "api_key", "apikey", "secret", "access_key")
+_KEY = _ALNUM | frozenset("_-")
+_UPPER = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+# Words before a secret or an account number, and what begins a key, with the characters that follow, how many at least and at most.
+_SECRET_CUES = ("password", "passwd", "passphrase", "token", "api_key", "api-key", "apikey", "secret", "access_key", "private_key")
 _ACCOUNT_CUES = ("account", "acct", "iban", "ssn", "passport")
-#: Key prefixes: characters that follow, and how many.
-_PREFIXES = {"AKIA": (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 16), "ghp_": (_ALNUM, 36)}
+_PREFIXES = {
+    "AKIA": (_UPPER | _DIGITS, 16, 16),
+    "ASIA": (_UPPER | _DIGITS, 16, 16),
+    "AIza": (_KEY, 35, 35),
+    "ghp_": (_ALNUM, 36, 36),
+    "gho_": (_ALNUM, 36, 36),
+    "ghs_": (_ALNUM, 36, 36),
+    "glpat-": (_KEY, 20, 20),
+    "sk_live_": (_ALNUM, 24, 99),
+    "xoxb-": (_KEY, 24, 99),
+    "xoxp-": (_KEY, 24, 99),
+}
+_JWT, _PEM, _PEM_END = "eyJ", "-----BEGIN ", "-----END "
+#: Characters of an account number, of the name in a key block's first or last line, and of an IBAN, at most.
+_ACCOUNT_CHARS, _PEM_CHARS, _IBAN_CHARS = 40, 64, 42
 
 
 @lru_cache(maxsize=1)
 def anchors() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    for mark in ("@", "+", "://", *_PREFIXES):
+    for mark in ("@", "+", "://", _JWT, _PEM, *_PREFIXES):
         found.add_word(mark, (mark, len(mark)))
     for digit in _DIGITS:
         found.add_word(digit, ("0", 1))
@@ -60,6 +80,25 @@ def anchors() -> ahocorasick.Automaton:
     return found
 
 
+class _Runs:
+    """Ends of runs of characters of a text. The latest run of each set is remembered, with its last digit: any start inside has the same end."""
+
+    def __init__(self, text: str):
+        self.text, self.n, self.latest = text, len(text), {}
+
+    def end(self, at: int, name: str, inside) -> tuple[int, int]:
+        """(end, place of the last digit or -1) of the run that goes on at `at`."""
+        begin, end, digit = self.latest.get(name, (0, -1, -1))
+        if not begin <= at <= end:
+            text, n, end, digit = self.text, self.n, at, -1
+            while end < n and inside(c := text[end]):
+                if c in _DIGITS:
+                    digit = end
+                end += 1
+            self.latest[name] = at, end, digit
+        return end, digit
+
+
 def _run(text: str, at: int, end: int, allowed: frozenset) -> int:
     while at < end and text[at] in allowed:
         at += 1
@@ -114,8 +153,9 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
     """(start, place of the kind in KINDS, end) of every span."""
     if not text:
         return []
-    n, spans = len(text), []
-    email_end = ip_end = card_end = phone_end = value_end = 0
+    n, spans, runs = len(text), [], _Runs(text)
+    email_end = ip_end = card_end = phone_end = value_end = iban_end = 0
+    url_stop = url_end = pem_end = -1
     for last, (mark, size) in anchors().iter(text):
         first = last - size + 1
         if mark == "0":
@@ -123,6 +163,12 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
                 ip_end = _number_chain(text, first, n, spans)
             if first >= card_end:
                 card_end = _digit_run(text, first, n, spans)
+            if first >= iban_end + 2 and text[first - 1] in _UPPER and text[first - 2] in _UPPER and (first == 2 or text[first - 3] not in _ALNUM):
+                if end := _iban(text, first - 2, n):
+                    if first - 2 >= value_end:
+                        spans.append((first - 2, 6, end))
+                        value_end = max(value_end, end)
+                    iban_end = end
         elif mark == "@":
             start = first
             while start > email_end and text[start - 1] in _LOCAL:
@@ -151,25 +197,39 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
             start = first
             while start > 0 and (text[start - 1] in _ALNUM or text[start - 1] in "+.-"):
                 start -= 1
-            stop = last + 1
-            while stop < n and text[stop] not in _URL_END and not text[stop].isspace():
-                stop += 1
-            host = text[last + 1 : stop]
-            for cut in "/?#":
-                host = host.partition(cut)[0]
-            if start < first and text[start] in _LETTERS and "@" in host[1:]:
-                end = stop
-                while text[end - 1] in ".,;:!?)":
-                    end -= 1
-                spans.append((start, 4, end))
+            if start < first and text[start] in _LETTERS:
+                stop, _ = runs.end(last + 1, "url", _in_url)
+                host = last + 1
+                while host < stop and text[host] not in "/?#":
+                    host += 1
+                if text.find("@", last + 2, host) >= 0:
+                    if stop != url_stop:
+                        url_stop = url_end = stop
+                        while text[url_end - 1] in ".,;:!?)":
+                            url_end -= 1
+                    spans.append((start, 4, url_end))
         elif mark in _PREFIXES:
-            allowed, count = _PREFIXES[mark]
-            end = _run(text, last + 1, n, allowed)
-            if end - last - 1 == count and (end == n or text[end] not in _ALNUM) and (first == 0 or text[first - 1] not in _ALNUM) and first >= value_end:
+            allowed, least, most = _PREFIXES[mark]
+            end = _run(text, last + 1, min(n, last + 2 + most), allowed)
+            if least <= end - last - 1 <= most and (end == n or text[end] not in _ALNUM) and (first == 0 or text[first - 1] not in _ALNUM) and first >= value_end:
                 spans.append((first, 5, end))
                 value_end = end
+        elif mark == _JWT:
+            if first >= value_end and (first == 0 or text[first - 1] not in _KEY) and (end := _web_token(text, last + 1, runs)):
+                spans.append((first, 5, end))
+                value_end = end
+        elif mark == _PEM:
+            name = text.find("-----", last + 1, last + 1 + _PEM_CHARS)
+            if first >= value_end and name >= 0 and text.endswith("PRIVATE KEY", last + 1, name):
+                if pem_end < name:
+                    pem_end = text.find(_PEM_END, name)
+                    pem_end = n if pem_end < 0 else pem_end
+                close = text.find("-----", pem_end + len(_PEM_END), pem_end + len(_PEM_END) + _PEM_CHARS)
+                if close >= 0:
+                    spans.append((first, 5, close + 5))
+                    value_end = close + 5
         elif first >= value_end and (first == 0 or text[first - 1] not in _LETTERS):
-            span = _secret(text, last + 1, n) if mark == "secret" else _account(text, last + 1, n)
+            span = _secret(text, last + 1, n, runs) if mark == "secret" else _account(text, last + 1, n)
             if span:
                 spans.append((span[0], 5 if mark == "secret" else 6, span[1]))
                 value_end = span[1]
@@ -177,16 +237,64 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
     return spans
 
 
-def _secret(text: str, at: int, n: int) -> tuple[int, int] | None:
+def _in_url(c: str) -> bool:
+    return c not in _URL_END and not c.isspace()
+
+
+def _secret(text: str, at: int, n: int, runs: _Runs) -> tuple[int, int] | None:
     """The value after = or :, eight characters at least with a digit among them."""
     at = _run(text, at, n, frozenset(" "))
     if at >= n or text[at] not in "=:":
         return None
     at = _run(text, at + 1, n, frozenset(" \"'"))
-    end = _run(text, at, n, _VALUE)
-    while end > at and text[end - 1] in ".-":
+    end, digit = runs.end(at, "value", _VALUE.__contains__)
+    if digit < at:
+        return None
+    end = max(digit + 1, _trimmed(text, end))
+    return (at, end) if end - at >= 8 else None
+
+
+def _trimmed(text: str, end: int) -> int:
+    """Where a value that ends here ends without dots and hyphens; looked at only where it has a digit, so at once for each run."""
+    while text[end - 1] in ".-":
         end -= 1
-    return (at, end) if end - at >= 8 and not _DIGITS.isdisjoint(text[at:end]) else None
+    return end
+
+
+def _web_token(text: str, at: int, runs: _Runs) -> int | None:
+    """End of header.payload.signature, each of eight characters at least."""
+    for part in range(3):
+        end, _ = runs.end(at, "key", _KEY.__contains__)
+        if end - at < 8 or (part < 2 and text[end : end + 1] != "."):
+            return None
+        at = end + 1
+    return end
+
+
+def _iban(text: str, at: int, n: int) -> int | None:
+    """End of the longest IBAN that begins here: 15 to 34 characters, single spaces between groups, remainder 1 modulo 97."""
+    stop, found, value, size, i = min(n, at + _IBAN_CHARS), None, 0, 0, at
+    head = text[at : at + 4]
+    if len(head) < 4 or head[3] not in _DIGITS:
+        return None
+    while i < stop and size < 34:
+        c = text[i]
+        if c in _DIGITS or c in _UPPER:
+            size += 1
+            if size > 4:
+                value = (value * 10 + int(c) if c in _DIGITS else value * 100 + ord(c) - 55) % 97
+            i += 1
+            if size >= 15 and (i == n or text[i] not in _ALNUM):
+                whole = value
+                for h in head:
+                    whole = (whole * 10 + int(h) if h in _DIGITS else whole * 100 + ord(h) - 55) % 97
+                if whole == 1:
+                    found = i
+        elif c == " " and i + 1 < stop and text[i - 1] != " ":
+            i += 1
+        else:
+            break
+    return found
 
 
 def _account(text: str, at: int, n: int) -> tuple[int, int] | None:
@@ -197,11 +305,11 @@ def _account(text: str, at: int, n: int) -> tuple[int, int] | None:
             break
     at = _run(text, at, min(n, at + 3), frozenset(" :#"))
     start, at = at, _run(text, at, min(n, at + 2), _LETTERS)
-    end = at
-    while end < n and (text[end] in _ALNUM or text[end] in " -" and end + 1 < n and text[end + 1] in _DIGITS):
+    end, stop = at, min(n, at + _ACCOUNT_CHARS + 1)
+    while end < stop and (text[end] in _ALNUM or text[end] in " -" and end + 1 < n and text[end + 1] in _DIGITS):
         end += 1
     digits = sum(c in _DIGITS for c in text[at:end])
-    return (start, end) if digits >= 6 and text[at] in _DIGITS and 2 * digits > end - at else None
+    return (start, end) if digits >= 6 and text[at] in _DIGITS and 2 * digits > end - at and end - at <= _ACCOUNT_CHARS else None
 
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
