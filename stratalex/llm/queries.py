@@ -78,7 +78,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents arrive in ARRIVALS parts by a hash of doc_id, are appended, compacted and read back with their shard."""
     store = shards.ShardStore(spark, f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}")
     documents = table(spark, sf_dir, "documents")
-    store.append_many(documents.withColumn("arrival", F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS))), "arrival")
+    store.append_many(documents.withColumn("op10 arrival", F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS))), "op10 arrival")
     store.vacuum()
     return store.read_with_shards().select("doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), "shard", "shard_bytes")
 

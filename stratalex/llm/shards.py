@@ -5,13 +5,17 @@ as small shards. Shards are tiered by size: tier t holds shards below BASE * FAN
 shards or more, runs of similar size are merged into files of at most the target size (a shard that is larger stays as
 it is). Reading a manifest reads its shards only, so a reader never sees half of a change.
 
-A commit writes the new manifest beside the old ones and renames it to the next version, which fails if that version
-exists: of two writers one wins and the other tries again on the newer version. Shards that no kept manifest names are
-removed by vacuum(). Each merged file is written by one task from its own inputs, without a shuffle, and no task holds
-more than the target size.
-
-Defined cases: an empty arrival commits a version without new shards; an empty store reads as no rows of its schema;
-null values, equal rows and very long texts are stored as they are; columns must have distinct names, as in any file.
+A commit writes a new manifest beside the old ones and renames it to the next version, which fails if that version
+exists: of two writers one wins and the other tries again on the newer version. A manifest holds the shards added and
+removed by its commit; every FULL-th, and the one that vacuum() writes, holds all of them. Shards that no kept manifest names
+are removed by vacuum(). All runs of a step are merged by one job, each by one task from its own inputs, without a shuffle,
+and no task holds more than the target size. The driver holds an entry for each shard, never rows.
+
+Defined cases: an arrival without rows commits a version without new shards; an empty store reads as no rows of its schema;
+null values, equal rows and very long texts are stored as they are. Of columns whose names are equal or differ in case
+only, the first is stored. Later arrivals may bring new columns, which read as null in earlier rows, and may lack
+columns; a column that comes back with another type is refused with ValueError. Arrivals given together are committed in the
+order of their values (numbers as numbers, nulls first). Shards are numbered by arrival and place in it, so that ties cannot occur.
 """
 
 from __future__ import annotations
@@ -19,21 +23,26 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import asdict, dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TARGET_BYTES, BASE_BYTES, FAN = 32 << 20, 1 << 20, 4
-#: Files written by one job at most.
-MERGES_PER_JOB = 64
+from .base import numbered, others
+
+TARGET_BYTES, BASE_BYTES, FAN = 128 << 20, 1 << 20, 4
+#: Files written by one job at most, and versions from one full manifest to the next.
+MERGES_PER_JOB, FULL = 256, 16
+ARRIVAL, NO_VALUE = "__arrival", "__HIVE_DEFAULT_PARTITION__"
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, order=True)
 class Shard:
+    arrival: int
+    place: int
     path: str
     bytes: int
-    arrival: int
 
 
 class ShardStore:
@@ -56,27 +65,40 @@ class ShardStore:
         names = [p.rpartition("/")[2] for p, _ in self._files(f"{self.folder}/manifest")]
         return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json"))
 
-    def manifest(self, version: int | None = None) -> dict:
-        version = version if version is not None else max(self.versions(), default=0)
-        if not version:
-            return {"version": 0, "schema": None, "shards": []}
+    def _stored(self, version: int) -> dict:
         stream = self.fs.open(self._path(f"{self.folder}/manifest/v{version:09d}.json"))
         try:
-            found = json.loads(bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(stream)))
+            return json.loads(bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(stream)))
         finally:
             stream.close()
-        return found | {"shards": [Shard(**s) for s in found["shards"]]}
 
-    def commit(self, change) -> int:
+    def manifest(self, version: int | None = None) -> dict:
+        """version, schema and shards (ordered) of a version, the latest if none is given."""
+        version = version if version is not None else max(self.versions(), default=0)
+        if not version:
+            return {"version": 0, "schema": None, "shards": []}
+        chain = [self._stored(version)]
+        while not chain[-1]["full"]:
+            chain.append(self._stored(chain[-1]["version"] - 1))
+        shards: dict[str, Shard] = {}
+        for change in reversed(chain):
+            for path in change["removed"]:
+                del shards[path]
+            shards.update((s["path"], Shard(**s)) for s in change["added"])
+        return {"version": version, "schema": chain[0]["schema"], "shards": sorted(shards.values())}
+
+    def commit(self, change, full: bool = False) -> int:
         """change(manifest) gives (schema, shards). Retried on the newer version if another writer was first."""
         while True:
             now = self.manifest()
             schema, shards = change(now)
             version = now["version"] + 1
-            body = json.dumps({"version": version, "schema": schema, "shards": [asdict(s) for s in shards]})
+            whole = full or version % FULL == 1
+            before = set() if whole else set(now["shards"])
+            body = {"version": version, "schema": schema, "full": whole, "added": [asdict(s) for s in shards if s not in before], "removed": sorted(s.path for s in before.difference(shards))}
             fresh = self._path(f"{self.folder}/manifest/.{uuid.uuid4().hex}")
             out = self.fs.create(fresh, False)
-            out.write(body.encode())
+            out.write(json.dumps(body).encode())
             out.close()
             options = self.spark.sparkContext._gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 0)
             context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.spark._jsc.hadoopConfiguration())
@@ -90,29 +112,42 @@ class ShardStore:
 
     # shards
 
-    def _written(self, df: DataFrame, arrival: int) -> list[Shard]:
+    def _written(self, df: DataFrame) -> list[tuple[str, int]]:
+        """Files with rows, in the order of the partitions that wrote them."""
         folder = f"{self.folder}/data/{uuid.uuid4().hex}"
         df.write.parquet(folder)
-        return [Shard(p, n, arrival) for p, n in self._files(folder) if p.rpartition("/")[2].startswith("part-")]
+        files = [(p, n) for p, n in self._files(folder) if p.rpartition("/")[2].startswith("part-")]
+        if len(files) == 1 and self.spark.read.schema(df.schema).parquet(files[0][0]).isEmpty():
+            return []  # Spark writes one file for no rows
+        return files
+
+    def _add(self, schema: T.StructType, files: list[tuple[str, int]]) -> int:
+        def change(m):
+            number = m["version"] + 1
+            return _widened(m["schema"], schema), [*m["shards"], *[Shard(number, k, p, n) for k, (p, n) in enumerate(files)]]
+
+        return self.commit(change)
 
     def append(self, df: DataFrame) -> int:
         """Commits an arrival as small shards."""
-        schema, number = df.schema.json(), self.manifest()["version"] + 1
-        fresh = self._written(df, number)
-        return self.commit(lambda m: (m["schema"] or schema, [*m["shards"], *fresh]))
+        df = _once(df)
+        _widened(self.manifest()["schema"], df.schema)  # a refusal comes before the rows are written
+        return self._add(df.schema, self._written(df))
 
     def append_many(self, df: DataFrame, column: str) -> list[int]:
-        """Writes arrivals, the values of a column that is not stored, in one job; commits each in the column's order."""
+        """Writes arrivals, the values of a column that is not stored, in one job; commits each in the column's order, then compacts."""
+        kind = df.schema[column].dataType
+        df = df.withColumn(ARRIVAL, F.col(column)).drop(column)
+        stored = _once(df.drop(ARRIVAL))
+        _widened(self.manifest()["schema"], stored.schema)
         folder = f"{self.folder}/data/{uuid.uuid4().hex}"
-        df.write.partitionBy(column).parquet(folder)
-        schema = df.drop(column).schema.json()
+        _once(df).write.partitionBy(ARRIVAL).parquet(folder)
+        parts = {unquote(p.rpartition(f"{ARRIVAL}=")[2]): p for p, _ in self._files(folder) if p.rpartition("/")[2].startswith(f"{ARRIVAL}=")}
+        number = float if isinstance(kind, T.NumericType) else str
         out = []
-        for part, _ in self._files(folder):
-            if part.rpartition("/")[2].startswith(f"{column}="):
-                number = self.manifest()["version"] + 1
-                fresh = [Shard(p, n, number) for p, n in self._files(part) if p.rpartition("/")[2].startswith("part-")]
-                out.append(self.commit(lambda m, fresh=fresh: (m["schema"] or schema, [*m["shards"], *fresh])))
-                self.compact()
+        for value in sorted(parts, key=lambda v: (v != NO_VALUE, number(v) if v != NO_VALUE else number(0), v)):
+            out.append(self._add(stored.schema, [(p, n) for p, n in self._files(parts[value]) if p.rpartition("/")[2].startswith("part-")]))
+        self.compact()
         return out
 
     def tier(self, size: int) -> int:
@@ -132,7 +167,7 @@ class ShardStore:
             if len(found) < self.fan:
                 continue
             run, size = [], 0
-            for s in sorted(found, key=lambda s: (s.arrival, s.path)):
+            for s in sorted(found):
                 if run and size + s.bytes > self.target:
                     runs.append(run)
                     run, size = [], 0
@@ -142,29 +177,28 @@ class ShardStore:
         return [r for r in runs if len(r) > 1]
 
     def compact(self) -> list[int]:
-        """Merges until no tier is due; each step is one commit."""
+        """Merges until no tier is due; each step is one job and one commit."""
         out = []
-        while runs := self.plan(self.manifest()["shards"]):
-            runs = runs[:MERGES_PER_JOB]
+        while runs := self.plan(self.manifest()["shards"])[:MERGES_PER_JOB]:
             schema = T.StructType.fromJson(json.loads(self.manifest()["schema"]))
             merged = None
             for run in runs:
                 one = self.spark.read.schema(schema).parquet(*[s.path for s in run]).coalesce(1)
                 merged = one if merged is None else merged.unionAll(one)
-            gone = {s.path for run in runs for s in run}
-            fresh = self._written(merged, max(s.arrival for run in runs for s in run))
+            fresh = [Shard(max(run).arrival, max(run).place, p, n) for run, (p, n) in zip(runs, self._written(merged), strict=True)]
+            gone = {s for run in runs for s in run}
 
             def change(m, gone=gone, fresh=fresh):
-                left = {s.path for s in m["shards"]}
-                if not gone <= left:
+                if not gone <= set(m["shards"]):
                     raise RuntimeError("another writer has merged these shards")
-                return m["schema"], [*[s for s in m["shards"] if s.path not in gone], *fresh]
+                return m["schema"], [*[s for s in m["shards"] if s not in gone], *fresh]
 
             out.append(self.commit(change))
         return out
 
     def vacuum(self, keep: int = 1) -> int:
-        """Removes manifests but the last `keep`, and the shards that none of those names."""
+        """Commits a full manifest, then removes all versions but the last `keep` and the shards that none of those names."""
+        self.commit(lambda m: (m["schema"], m["shards"]), full=True)
         versions = self.versions()
         named = {s.path for v in versions[-keep:] for s in self.manifest(v)["shards"]}
         gone = 0
@@ -174,8 +208,12 @@ class ShardStore:
                 for file, _ in inner:
                     if file not in named and file.rpartition("/")[2].startswith("part-"):
                         gone += self.fs.delete(self._path(file), False)
-        for v in versions[:-keep]:
-            self.fs.delete(self._path(f"{self.folder}/manifest/v{v:09d}.json"), False)
+        last = versions[-keep:][0]
+        while not self._stored(last)["full"]:
+            last -= 1
+        for v in versions:
+            if v < last:
+                self.fs.delete(self._path(f"{self.folder}/manifest/v{v:09d}.json"), False)
         return gone
 
     def read(self, version: int | None = None) -> DataFrame:
@@ -186,10 +224,31 @@ class ShardStore:
         return self.spark.read.schema(schema).parquet(*[s.path for s in found["shards"]])
 
     def read_with_shards(self, version: int | None = None) -> DataFrame:
-        """The rows with shard (its place in the manifest, from 0) and shard_bytes."""
-        shards = self.manifest(version)["shards"]
-        names = [(s.path.rpartition("/data/")[2], k, s.bytes) for k, s in enumerate(shards)]
-        places = self.spark.createDataFrame(names, "name string, shard long, shard_bytes long")
-        rows = self.read(version)
-        name = F.regexp_extract(F.col("_metadata.file_path"), "/data/([0-9a-f]{32}/.*)$", 1) if shards else F.lit("")
-        return rows.withColumn("__name", name).join(F.broadcast(places), F.col("__name") == F.col("name")).drop("__name", "name")
+        """The rows with shard (its place in the manifest, from 0) and shard_bytes, in the place of stored columns of these names."""
+        shards, rows = self.manifest(version)["shards"], self.read(version)
+        kept = others(rows, ["shard", "shard_bytes"])
+        names = [rows.columns[i] for i in kept]
+        places = self.spark.createDataFrame([(s.path.rpartition("/data/")[2], k, s.bytes) for k, s in enumerate(shards)], "file string, shard long, shard_bytes long")
+        file = F.regexp_extract(F.url_decode(rows.metadataColumn("_metadata")["file_path"]), "/data/([0-9a-f]{32}/.*)$", 1) if shards else F.lit("")
+        wide = numbered(rows.select("*", file.alias("at"))).select(*[f"c{i}" for i in kept], f"c{len(rows.columns)}")
+        met = wide.join(places, F.col(f"c{len(rows.columns)}") == F.col("file"))
+        return met.select(*[f"c{i}" for i in kept], "shard", "shard_bytes").toDF(*names, "shard", "shard_bytes")
+
+
+def _once(df: DataFrame) -> DataFrame:
+    """The first column of each name, whatever its case."""
+    kept = others(df, [])
+    return df if len(kept) == len(df.columns) else numbered(df).select(*[f"c{i}" for i in kept]).toDF(*[df.columns[i] for i in kept])
+
+
+def _widened(schema: str | None, more: T.StructType) -> str:
+    """The stored schema with the further columns of an arrival."""
+    fields = T.StructType.fromJson(json.loads(schema)).fields if schema else []
+    known = {f.name.lower(): f for f in fields}
+    for f in more.fields:
+        old = known.get(f.name.lower())
+        if old is None:
+            fields = [*fields, T.StructField(f.name, f.dataType, True)]
+        elif old.dataType != f.dataType:
+            raise ValueError(f"column {f.name} is {old.dataType.simpleString()} in the store and {f.dataType.simpleString()} in the arrival")
+    return T.StructType(fields).json()

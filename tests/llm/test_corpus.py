@@ -1,6 +1,7 @@
 """Licence scan, language-model scores and sharding against plain Python."""
 
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -12,6 +13,9 @@ from stratalex.llm import licences, ngrams, queries, shards
 from stratalex.llm.base import table
 
 
+shards_class = shards.ShardStore
+
+
 def brute_lm(rows, order=3, least=1, backoff=0.4):
     split = [(i, WORD.findall((t or "").translate(LOWER))) for i, t in rows]
     grams = lambda ws: Counter(tuple(ws[k - n : k]) for n in range(1, order + 1) for k in range(n, len(ws) + 1))
@@ -121,9 +125,21 @@ def test_op6_paths_and_odd_rows(spark, odd):
     assert licences.scan(odd).count() == odd.count() and licences.scan(odd.limit(0)).count() == 0
 
 
-def test_op10_rows_are_whole(spark, data):
+def test_op10_brute_force(spark, data, monkeypatch):
+    """Rows are whole, and each lies in the shard that it is said to lie in, of the size that the file has."""
+    import pyarrow.parquet as pq
+
+    made = []
+    monkeypatch.setattr(queries.shards, "ShardStore", lambda *a: made.append(shards_class(*a)) or made[-1])
     rows = queries.op10_shards(spark, data).collect()
-    assert sorted((r["doc_id"], r["text_crc32"]) for r in rows) == sorted((i, zlib.crc32((t or "").encode())) for i, t in texts(table(spark, data, "documents")))
+    want = []
+    for k, s in enumerate(made[0].manifest()["shards"]):
+        path = re.sub("^file:/*", "/", s.path)
+        assert s.bytes == os.path.getsize(path)
+        held = pq.read_table(path, columns=["doc_id", "text"])
+        want += [(i, zlib.crc32((t or "").encode()), k, s.bytes) for i, t in zip(held["doc_id"].to_pylist(), held["text"].to_pylist())]
+    assert sorted((r["doc_id"], r["text_crc32"], r["shard"], r["shard_bytes"]) for r in rows) == sorted(want)
+    assert sorted(w[:2] for w in want) == sorted((i, zlib.crc32((t or "").encode())) for i, t in texts(table(spark, data, "documents")))
 
 
 def test_op10_compaction_and_versions(spark, odd, tmp_path):
@@ -139,11 +155,80 @@ def test_op10_compaction_and_versions(spark, odd, tmp_path):
     want = sorted(map(key, odd.collect()))
     for version in (before["version"], after["version"]):
         assert sorted(map(key, store.read(version).collect())) == want
-    assert store.vacuum() > 0 and store.versions() == [after["version"]]
+    assert store.vacuum() > 0 and store.versions() == [after["version"] + 1]
+    assert store.manifest()["shards"] == after["shards"]
     assert sorted(map(key, store.read().collect())) == want
     assert store.read_with_shards().select("shard").distinct().count() == len(after["shards"])
 
 
+def test_op10_runs_against_brute_force(spark, tmp_path):
+    """Every run is of one tier with enough shards, in order, no larger than the target unless alone; nothing due is left."""
+    import random
+
+    store, rng = shards.ShardStore(spark, f"file://{tmp_path}/none", target=1000, base=10, fan=4), random.Random(3)
+    for _ in range(300):
+        made = [shards.Shard(rng.randint(1, 9), k, f"p{k}", int(10 ** rng.uniform(0, 3.3))) for k in range(rng.randint(0, 30))]
+        tiers = {}
+        for s in made:
+            if s.bytes < 1000:
+                tiers.setdefault(next(t for t in range(9) if s.bytes < 10 * 4 ** (t + 1)), []).append(s)
+        runs = store.plan(made)
+        taken = [s for r in runs for s in r]
+        assert len(set(taken)) == len(taken)
+        for r in runs:
+            of = [t for t, x in tiers.items() if set(r) <= set(x)]
+            assert len(of) == 1 and len(tiers[of[0]]) >= 4 and r == sorted(r) and len(r) > 1 and sum(s.bytes for s in r) <= 1000
+        for x in tiers.values():  # two neighbours that are left apart would not fit together
+            if len(x) >= 4:
+                groups, size = [[]], 0
+                for s in sorted(x):
+                    if groups[-1] and size + s.bytes > 1000:
+                        groups, size = [*groups, []], 0
+                    groups[-1].append(s)
+                    size += s.bytes
+                assert [g for g in groups if len(g) > 1] == [r for r in runs if set(r) <= set(x)]
+
+
+def test_op10_clashing_columns(spark, clashing, tmp_path):
+    from pyspark.sql import functions as F
+
+    wide = clashing.select("*", *[F.lit(n).alias(n) for n in ("name", "shard", "file", "at", "arrival", "_metadata", "__arrival")])
+    store = shards.ShardStore(spark, f"file://{tmp_path}/store", base=2_000, fan=2)
+    store.append(wide)
+    names = [c for c in wide.columns if c not in ("TEXT", "shard")]
+    out = store.read_with_shards()
+    assert out.columns == [*names, "shard", "shard_bytes"] and out.count() == clashing.count()
+    assert {r["name"] for r in out.select("name").collect()} == {"name"}
+    many = shards.ShardStore(spark, f"file://{tmp_path}/many", base=2_000, fan=2)
+    many.append_many(wide.drop("__arrival").withColumn("n", F.when(F.col("arrival").isNotNull(), F.pmod(F.xxhash64("n_chars"), F.lit(12)))), "n")
+    assert many.read_with_shards().count() == clashing.count()
+
+
+def test_op10_drift_and_empty_arrivals(spark, odd, tmp_path):
+    from pyspark.sql import functions as F
+
+    store = shards.ShardStore(spark, f"file://{tmp_path}/store")
+    few = odd.limit(3)
+    store.append(few)
+    store.append(few.select("doc_id", "text", F.lit(1.5).alias("Quality")))
+    rows = store.read()
+    assert rows.columns == [*odd.columns, "Quality"]
+    assert sorted(str(r["Quality"]) for r in rows.collect()) == ["1.5"] * 3 + ["None"] * 3 and rows.where("lang is null").count() == 3
+    with pytest.raises(ValueError):
+        store.append(few.withColumn("doc_id", F.col("doc_id").cast("string")))
+    before = store.manifest()
+    assert store.append(odd.limit(0)) == before["version"] + 1 and store.manifest()["shards"] == before["shards"]
+    assert store.append_many(odd.limit(0), "lang") == []
+    store.compact()
+    assert store.read().count() == 6
+
+
+def test_op10_arrivals_in_numeric_order(spark, tmp_path):
+    store = shards.ShardStore(spark, f"file://{tmp_path}/store", fan=99)
+    store.append_many(spark.range(12).selectExpr("id", "id as n").unionAll(spark.sql("select 99L, null")).coalesce(1), "n")
+    assert [r["id"] for r in store.read_with_shards().orderBy("shard").collect()] == [99, *range(12)]
+
+
 def test_op10_of_two_writers_both_commit(spark, odd, tmp_path):
     store = shards.ShardStore(spark, f"file://{tmp_path}/store")
     once = []
@@ -154,5 +239,7 @@ def test_op10_of_two_writers_both_commit(spark, odd, tmp_path):
         return m["schema"] or odd.schema.json(), m["shards"]
 
     assert store.commit(change) == 2 and len(store.manifest()["shards"]) == len(store.manifest(1)["shards"]) > 0
-    assert store.append(odd.limit(0)) == 3
+    for k in range(40):  # over full manifests
+        store.commit(lambda m, k=k: (m["schema"], [*m["shards"], shards.Shard(50, k, f"x{k}", 1)] if k % 3 else m["shards"][:1]))
+    assert [len(store.manifest(v)["shards"]) for v in (3, 4, 5, 6, 42)] == [1, 2, 3, 1, 1]
     assert shards.ShardStore(spark, f"file://{tmp_path}/none").read().count() == 0
