@@ -67,13 +67,22 @@ def test_op8_joins_counts_to_occurrences(spark, data):
     assert re.search("SortMergeJoin|HashJoin", text)
 
 
+def brute_units(body):
+    yield from ((0, u) for u in re.split(licences.UNIT, body))
+    yield from ((1, u) for u in re.split(licences.BLANK, body) if len(re.split(licences.WORD, u)) <= licences.PARAGRAPH)
+    lines = body.split("\n")
+    for k in range(0, len(lines) if len(lines) > 1 else 0, licences.STRIDE):
+        some = lines[k : k + licences.WINDOW]
+        if all(len(x) <= licences.LINE for x in some):
+            yield 2, "\n".join(some)
+
+
 def brute_licences(rows):
     """rows: (doc_id, text, path)"""
     bodies = [(t or "").translate(LOWER) for _, t, _ in rows]
     split = lambda x: [t for t in re.split(r"[^a-z0-9]+", x) if t]
     df = Counter(t for b in bodies for t in set(split(b)))
-    known = {t for _, x in licences.TEMPLATES for t in split(x.lower())}
-    idf = lambda t: math.log((1 + len(rows)) / (1 + (df[t] if t in known else 0))) + 1
+    idf = lambda t: math.log((1 + len(rows)) / (1 + df[t])) + 1
     vectors = []
     for name, x in licences.TEMPLATES:
         v = {t: n * idf(t) for t, n in Counter(split(x.lower())).items()}
@@ -81,17 +90,20 @@ def brute_licences(rows):
         vectors.append((name, {t: a / norm for t, a in v.items()}))
     own, files = [], {}
     for (_, _, path), body in zip(rows, bodies):
-        best, said = None, 0
-        for unit in re.split(licences.UNIT, body):
+        best, said = None, [0, 0, 0]
+        for kind, unit in brute_units(body):
             u = {t: n * idf(t) for t, n in Counter(split(unit)).items()}
             norm = math.sqrt(sum(a * a for a in u.values()))
             if norm:
-                top = min((-round(sum(u.get(t, 0) * a for t, a in v.items()) / norm, 9), name) for name, v in vectors)
-                if -top[0] >= licences.THRESHOLD:
-                    said += len(split(unit))
-                    best = min(best, top) if best else top
+                top = min((-round(sum(u.get(t, 0) * a for t, a in v.items()), 9), name) for name, v in vectors)
+                cosine = round(-top[0] / norm, 9)
+                if cosine >= licences.THRESHOLD:
+                    said[kind] += len(split(unit))
+                    found = (top[1] == licences.RESERVED, -cosine, top[1])
+                    best = min(best, found) if best else found
+        best = best and best[1:]
         folder = path.rpartition("/")[0] if path is not None else None
-        is_file = best and (2 * said >= len(split(body)) or bool(path and re.match(licences.FILE_NAMES, path.rpartition("/")[2])))
+        is_file = best and (2 * max(said[:2]) >= len(split(body)) or bool(path and re.match(licences.FILE_NAMES, path.rpartition("/")[2])))
         own.append((best, folder, is_file))
         if is_file and folder is not None:
             files[folder] = min(files.get(folder, best), best)
@@ -115,14 +127,48 @@ def test_op6_brute_force(spark, data):
         assert (g["licence"], g["origin"], g["directory"]) == (w[1], w[3], w[4]) and (w[2] is None or abs(g["cosine"] - w[2]) < 2e-6)
 
 
-def test_op6_paths_and_odd_rows(spark, odd):
+MIT_FILE = """MIT License
+
+Copyright (c) 2020 Example Corporation
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+GPL_HEADER = """# tool.py does things
+# Copyright 2021 A. Writer
+#
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+import os
+import sys
+""" + "\n".join(f"value_{k} = call(value_{k + 1}, {k})" for k in range(40))
+BSD_FILE = "Copyright (c) 2019, Someone. All rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+
+
+@pytest.mark.parametrize("broadcast_terms", [1 << 18, 0])
+def test_op6_paths_and_odd_rows(spark, odd, clashing, broadcast_terms):
     mit, apache = "Released under the MIT License.", "Some words of prose that go on and on.\nLicensed under the Apache License, Version 2.0."
     rows = [(1, mit, "LICENSE"), (2, "print one", "src/a.py"), (3, apache, "src/b.py"), (4, apache, "src/lib/COPYING"), (5, "code", "src/lib/x/y.py"), (6, None, "src/lib2/y.py"), (7, "x", None), (7, "x", None), (8, "", "z"), (None, "All rights reserved", "q/r")]
+    rows += [(9, MIT_FILE, "vendor/mit/LICENSE.txt"), (10, "int main;", "vendor/mit/src/main.c"), (11, GPL_HEADER, "tools/tool.py"), (12, BSD_FILE, "vendor/bsd/LICENSE"), (13, "SPDX-License-Identifier: MPL-2.0", "w/x.rs"), (14, "This project is licensed under the MIT License", "w/README"), (15, "We went to the market and bought bread, under a grey sky, with permission.", "w/story")]
     df = spark.createDataFrame(rows, "doc_id int, text string, path string")
     from pyspark.sql import functions as F
 
-    same(licences.scan(df, path=F.col("path")).drop("cosine"), [(w[0], w[1], w[3], w[4]) for w in brute_licences(rows)])
-    assert licences.scan(odd).count() == odd.count() and licences.scan(odd.limit(0)).count() == 0
+    want = [(w[0], w[1], w[3], w[4]) for w in brute_licences(rows)]
+    same(licences.scan(df, path=F.col("path"), broadcast_terms=broadcast_terms).drop("cosine"), want)
+    found = {w[0]: w[1:3] for w in want}
+    assert found[9] == ("MIT", "file") and found[10] == ("MIT", "inherited") and found[11] == ("GPL-3.0", "header") and found[12] == ("BSD-3-Clause", "file")
+    assert found[13][0] == "MPL-2.0" and found[14][0] == "MIT" and found[15] == ("MIT", "inherited")
+    if broadcast_terms:
+        same(licences.scan(clashing, path=clashing["label"]).drop("cosine"), [(w[0], w[1], w[3], w[4]) for w in brute_licences([(i, t, "x") for i, t in texts(odd)])])
+        assert licences.scan(odd).count() == odd.count() and licences.scan(odd.limit(0)).count() == 0
 
 
 def test_op10_brute_force(spark, data, monkeypatch):
