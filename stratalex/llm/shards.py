@@ -8,8 +8,8 @@ it is). Reading a manifest reads its shards only, so a reader never sees half of
 A commit writes a new manifest beside the old ones and renames it to the next version, which fails if that version
 exists: of two writers one wins and the other tries again on the newer version. A manifest holds the shards added and
 removed by its commit; every FULL-th, and the one that vacuum() writes, holds all of them. Shards that no kept manifest names
-are removed by vacuum(). All runs of a step are merged by one job, each by one task from its own inputs, without a shuffle,
-and no task holds more than the target size. The driver holds an entry for each shard, never rows.
+are removed by vacuum(). The runs of a step are merged side by side, each by one task from its own inputs, without a shuffle,
+and no task writes more than the target size. The driver holds an entry for each shard, never rows.
 
 Defined cases: an arrival without rows commits a version without new shards; an empty store reads as no rows of its schema;
 null values, equal rows and very long texts are stored as they are. Of columns whose names are equal or differ in case
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from urllib.parse import unquote
 
@@ -32,8 +33,8 @@ from pyspark.sql import types as T
 from .base import numbered, others
 
 TARGET_BYTES, BASE_BYTES, FAN = 128 << 20, 1 << 20, 4
-#: Files written by one job at most, and versions from one full manifest to the next.
-MERGES_PER_JOB, FULL = 256, 16
+#: Runs merged by one commit at most, at once, and versions from one full manifest to the next.
+MERGES, MERGES_AT_ONCE, FULL = 256, 16, 16
 ARRIVAL, NO_VALUE = "__arrival", "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -177,15 +178,13 @@ class ShardStore:
         return [r for r in runs if len(r) > 1]
 
     def compact(self) -> list[int]:
-        """Merges until no tier is due; each step is one job and one commit."""
+        """Merges until no tier is due; each step is one commit."""
         out = []
-        while runs := self.plan(self.manifest()["shards"])[:MERGES_PER_JOB]:
+        while runs := self.plan(self.manifest()["shards"])[:MERGES]:
             schema = T.StructType.fromJson(json.loads(self.manifest()["schema"]))
-            merged = None
-            for run in runs:
-                one = self.spark.read.schema(schema).parquet(*[s.path for s in run]).coalesce(1)
-                merged = one if merged is None else merged.unionAll(one)
-            fresh = [Shard(max(run).arrival, max(run).place, p, n) for run, (p, n) in zip(runs, self._written(merged), strict=True)]
+            merge = lambda run, schema=schema: self._written(self.spark.read.schema(schema).parquet(*[s.path for s in run]).coalesce(1))
+            with ThreadPoolExecutor(MERGES_AT_ONCE) as pool:  # a job a run, which leave each other's tasks room
+                fresh = [Shard(max(run).arrival, max(run).place, p, n) for run, files in zip(runs, pool.map(merge, runs)) for p, n in files]
             gone = {s for run in runs for s in run}
 
             def change(m, gone=gone, fresh=fresh):
