@@ -207,6 +207,16 @@ def test_op10_compaction_and_versions(spark, odd, tmp_path):
     assert store.read_with_shards().select("shard").distinct().count() == len(after["shards"])
 
 
+def test_op10_each_run_is_a_file(spark, tmp_path):
+    store = shards.ShardStore(spark, f"file://{tmp_path}/store", target=30_000, base=1_000, fan=4)
+    store.append(spark.range(40_000).repartition(24))
+    runs = store.plan(store.manifest()["shards"])
+    assert len(runs) > 2
+    store.compact()
+    left = store.manifest()["shards"]
+    assert len(left) < 24 and all(s.bytes <= 1.2 * 30_000 for s in left) and store.read().distinct().count() == 40_000
+
+
 def test_op10_runs_against_brute_force(spark, tmp_path):
     """Every run is of one tier with enough shards, in order, no larger than the target unless alone; nothing due is left."""
     import random
