@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import numbered, others, position, with_columns
+from .base import numbered, position, with_columns
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "secret", "account")
@@ -339,10 +339,10 @@ def _redacted(text: str | None) -> str | None:
 def redact(df: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
     """Each span, overlapping ones together, becomes <KIND>; `length`, where the table has it, follows. Columns stay as they are."""
     at = position(df, text)
-    made = with_columns(df, [text], lambda texts: [[_redacted(t) for t in texts]], pa.schema([(text, pa.string())]))
-    back = {c: F.col(f"c{i}") for i, c in enumerate(made.columns)}
-    if length and length.lower() in [c.lower() for c in made.columns]:
-        i = position(made, length)
-        back[made.columns[i]] = F.char_length(back[text]).cast(made.schema.fields[i].dataType)
-    order = sorted({at, *others(df, [text])})
-    return numbered(made).select(*[back[text if i == at else df.columns[i]].alias(df.columns[i]) for i in order])
+    made = with_columns(numbered(df), [f"c{at}"], lambda texts: [[_redacted(t) for t in texts]], pa.schema([("redacted", pa.string())]))
+    out = {f"c{i}": F.col(f"c{i}") for i in range(len(df.columns))}
+    out[f"c{at}"] = F.col("redacted")
+    if length and length.lower() in [c.lower() for c in df.columns]:
+        i = position(df, length)
+        out[f"c{i}"] = F.char_length("redacted").cast(df.schema.fields[i].dataType)
+    return made.select(*[c.alias(name) for name, c in out.items()]).toDF(*df.columns)

@@ -3,7 +3,9 @@
 from array import array
 
 import corpus_pipeline
-from llm.test_contracts import brute_op2, brute_op5, texts
+import pytest
+from llm.test_contracts import brute_op2, texts
+from llm.test_near_copies import brute
 
 from stratalex.llm import pii
 from stratalex.llm.base import cut, table
@@ -16,7 +18,7 @@ def test_stages(spark, data):
         assert docs.columns == before.columns and docs.dtypes == before.dtypes
         seen[name] = (dict(texts(before)), dict(texts(docs)))
     before, after = seen["near_copies"]
-    assert set(after) == {c for _, _, c in brute_op5(list(before.items()))} and all(before[k] == t for k, t in after.items())
+    assert set(after) == brute(list(before.items())) and all(before[k] == t for k, t in after.items())
     before, after = seen["benchmark_leaks"]
     items = [tuple(r) for r in table(spark, data, "benchmark").select("item_id", "text").collect()]
     assert set(after) == {x[0] for x in brute_op2(before.items(), items) if not x[2]}
@@ -32,5 +34,12 @@ def test_odd_rows(spark, odd, data):
         docs = cut(stage(spark, docs, data), name)
         assert docs.columns == odd.columns
     assert all(r["round_trip"] for r in corpus_pipeline.STAGES[-1][1](spark, docs, data).collect())
-    empty = corpus_pipeline.STAGES[1][1](spark, odd.limit(0), data)
-    assert empty.count() == 0
+
+
+@pytest.mark.parametrize("place", range(5))
+def test_each_stage_on_empty_and_clashing_tables(spark, odd, clashing, data, place):
+    name, stage = corpus_pipeline.STAGES[place]
+    assert stage(spark, odd.limit(0), data).count() == 0
+    out = stage(spark, clashing, data)
+    assert 0 < out.count() <= clashing.count()
+    assert place == 4 or (out.columns == clashing.columns and out.dtypes == clashing.dtypes)
