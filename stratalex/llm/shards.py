@@ -35,6 +35,8 @@ from .base import numbered, others
 TARGET_BYTES, BASE_BYTES, FAN = 128 << 20, 1 << 20, 4
 #: Runs merged by one commit at most, at once, and versions from one full manifest to the next.
 MERGES, MERGES_AT_ONCE, FULL = 256, 16, 16
+#: Shards whose names may be broadcast, some 150 bytes each.
+BROADCAST_SHARDS = 1 << 17
 ARRIVAL, NO_VALUE = "__arrival", "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -230,6 +232,7 @@ class ShardStore:
         places = self.spark.createDataFrame([(s.path.rpartition("/data/")[2], k, s.bytes) for k, s in enumerate(shards)], "file string, shard long, shard_bytes long")
         file = F.regexp_extract(F.url_decode(rows.metadataColumn("_metadata")["file_path"]), "/data/([0-9a-f]{32}/.*)$", 1) if shards else F.lit("")
         wide = numbered(rows.select("*", file.alias("at"))).select(*[f"c{i}" for i in kept], f"c{len(rows.columns)}")
+        places = F.broadcast(places) if len(shards) <= BROADCAST_SHARDS else places  # beyond, a join's largest key is one shard
         met = wide.join(places, F.col(f"c{len(rows.columns)}") == F.col("file"))
         return met.select(*[f"c{i}" for i in kept], "shard", "shard_bytes").toDF(*names, "shard", "shard_bytes")
 
