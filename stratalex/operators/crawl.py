@@ -5,6 +5,7 @@ any function from a table of URLs to such a table; offline it is a join with sto
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from urllib.robotparser import RobotFileParser
 
@@ -66,18 +67,18 @@ def robots_allow(urls: DataFrame, robots: DataFrame, agent: str = "*") -> DataFr
 
 
 def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], DataFrame], policy: WebPolicy = WebPolicy(), allowed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Breadth-first: each round fetches the frontier, within the budgets of pages and depth, and follows links that are new
+    """Breadth-first: each round fetches the frontier, within the budgets of pages, minutes and depth, and follows links that are new
     and may be followed. seeds: url and priority. Gives the fetched pages with depth. The frontier stays a table; the driver
     counts only."""
     frontier = cut(seeds.select(tx.normalize_url(F.col("url")).alias("url"), F.coalesce("priority", F.lit(0)).alias("priority")).where("url is not null").groupBy("url").agg(F.max("priority").alias("priority")), "frontier")
-    visited, pages, left = frontier.select("url"), None, policy.max_pages
+    visited, pages, left, begin = frontier.select("url"), None, policy.max_pages, time.monotonic()
     for depth in range(policy.max_depth + 1):
         todo = frontier if allowed is None else allowed(frontier).where("allowed").select("url", "priority")
         chosen = todo.orderBy(F.desc("priority"), "url").limit(left).select("url")
         got = cut(fetch(chosen).withColumn("depth", F.lit(depth)), "fetched")
         pages = got if pages is None else pages.unionByName(got, allowMissingColumns=True)
         left -= got.count()
-        if left <= 0 or depth == policy.max_depth:
+        if left <= 0 or depth == policy.max_depth or time.monotonic() - begin > 60 * policy.max_minutes:
             break
         links = discovered(got.select("url", "html")).where(tx.follows(F.col("link"), policy.allowed_domains, policy.disallowed_paths)).select(F.col("link").alias("url")).distinct()
         frontier = cut(links.join(visited, "url", "left_anti").withColumn("priority", F.lit(0)), "frontier")

@@ -122,15 +122,15 @@ def violations(nodes: DataFrame, policy: HierarchyPolicy = HierarchyPolicy()) ->
 REPAIRS = {"missing-parent": "Attach placeholder parents or quarantine concepts without valid parents.", "non-unique-path": "Review merges that gave a concept several parents.", "invalid-level": "Let promotion emit levels 0 to 3 only."}
 
 
-def cyclic(edges: DataFrame, rounds: int = 64) -> DataFrame:
-    """Edges that lie on or below a cycle: what is left when nodes without parents are peeled off, round by round."""
+def cyclic(edges: DataFrame) -> DataFrame:
+    """Edges that lie on or below a cycle: what is left when nodes without parents are peeled off, round by round, until
+    nothing more goes; there are as many rounds as the longest path has edges."""
     left = cut(edges.select("parent", "child").distinct(), "peel")
-    for _ in range(rounds):
+    while True:
         rest = cut(left.join(left.select(F.col("child").alias("parent")).distinct(), "parent", "left_semi"), "peel")
         if rest.count() == left.count():
             return rest
         left = rest
-    return left
 
 
 def lineages(nodes: DataFrame) -> DataFrame:

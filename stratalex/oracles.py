@@ -39,7 +39,7 @@ near AS (SELECT a.p_partkey, a.t, b.t AS u, trim(regexp_replace(regexp_replace(l
 
 LINES = r"""
 WITH l AS (SELECT doc_id AS page, generate_subscripts(parts, 1) AS pos, trim(unnest(parts), ' ' || chr(9)) AS line, unnest(parts) AS raw
-           FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE lang = 'en')),
+           FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)),
 f AS (SELECT *, line = '' AS blank,
         regexp_matches(line, '(?i)^[A-Z][A-Z\s]{2,50}:?$') OR regexp_matches(line, '^#{1,6}\s+.+$') OR regexp_matches(line, '(?i)^\d+\.\s+[A-Z].+$')
         OR (ends_with(line, ':') AND len(regexp_split_to_array(line, '\s+')) <= 12)
@@ -145,21 +145,21 @@ SELECT p_partkey, CASE WHEN m = 2 THEN 'centre for ' || p_name ELSE p_name END A
     "acronym_detect": r"""
 SELECT c_custkey, array_to_string(list_filter([c_mktsegment[1:4], 'AI', 'EECS'], lambda a: a NOT IN ('OF')), '|') AS acronyms FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "acronym_match": "SELECT p_partkey, upper(p_name[1] || string_split(p_name, ' ')[2][1]) AS initials, CASE WHEN upper(p_name[1]) || 'B' = upper(p_name[1] || string_split(p_name, ' ')[2][1]) THEN 1.0 ELSE 0.0 END::DOUBLE AS score, 1.0::DOUBLE AS known FROM part",
-    "record_fingerprints": "SELECT doc_id, 'record:' || sha1('some text|' || source || '|') AS fingerprint, source || '::split::' || sha256(source || ':' || (doc_id % 7))[1:12] AS split_id FROM documents WHERE lang = 'en'",
+    "record_fingerprints": r"SELECT doc_id, 'record:' || sha1(trim(regexp_replace(text, '[\s\v]+', ' ', 'g'), ' ') || '|' || source || '|') AS fingerprint, source || '::split::' || sha256(source || ':' || (doc_id % 7))[1:12] AS split_id FROM documents",
     "token_jaccard": NEAR_PARTS + "SELECT p_partkey, round(len(list_intersect(list_distinct(string_split(x, ' ')), list_distinct(string_split(y, ' ')))) / len(list_distinct(list_concat(string_split(x, ' '), string_split(y, ' ')))), 6) AS score FROM near",
     "shingle_jaccard": NEAR_PARTS + ", g AS (SELECT p_partkey, list_distinct(list_transform(range(1, len(string_split(x, ' '))), lambda i: array_to_string(string_split(x, ' ')[i : i + 1], ' '))) AS a, list_distinct(list_transform(range(1, len(string_split(y, ' '))), lambda i: array_to_string(string_split(y, ' ')[i : i + 1], ' '))) AS b FROM near) SELECT p_partkey, round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) AS score FROM g",
     "jaro_winkler_pairs": NEAR_PARTS + "SELECT p_partkey, round(jaro_winkler_similarity(x, y), 6) AS score FROM near",
-    "combined_similarity": NEAR_PARTS + "SELECT p_partkey, round(len(list_intersect(list_distinct(string_split(x, ' ')), list_distinct(string_split(y, ' ')))) / len(list_distinct(list_concat(string_split(x, ' '), string_split(y, ' ')))), 6) AS score FROM near WHERE p_partkey < 2000",
+    "combined_similarity": NEAR_PARTS + "SELECT p_partkey, round(len(list_intersect(list_distinct(string_split(x, ' ')), list_distinct(string_split(y, ' ')))) / len(list_distinct(list_concat(string_split(x, ' '), string_split(y, ' ')))), 6) AS score FROM near",
     "affix_hints": "SELECT p_partkey, CASE WHEN string_split(p_name, ' ')[2] IN ('bolt', 'ring', 'systems') AND len(string_split(p_name, ' ')) = 2 THEN 1.0 ELSE 0.0 END::DOUBLE AS hint FROM part",
     "s0_lines": LINES + "SELECT page, count(*) AS lines, count(*) FILTER (blank) AS blanks, count(*) FILTER (header AND NOT blank) AS headers, count(*) FILTER (kind = 'list') AS listed, count(*) FILTER (kind = 'table') AS tabled FROM f GROUP BY page",
     "s0_segments": BLOCKS + "SELECT page, CAST(ord AS BIGINT) AS ord, md5(section) AS section, block_type, md5(text) AS text, boilerplate FROM o",
-    "s0_block_gates": BLOCKS + "SELECT page, count(*) AS blocks, count(*) FILTER (len(text) BETWEEN 12 AND 2000) AS kept FROM o WHERE NOT boilerplate AND page % 4 >= 2 GROUP BY page",
+    "s0_block_gates": BLOCKS + "SELECT page, count(*) AS blocks, count(*) FILTER (len(text) BETWEEN 12 AND 2000) AS kept FROM o WHERE NOT boilerplate AND page % 4 >= 2 AND page IN (SELECT doc_id FROM documents WHERE lang = 'en') GROUP BY page",
     "s0_language_gate": "SELECT lang, count(*) AS pages_seen, count(*) FILTER (NOT (lang = 'en' AND doc_id % 4 >= 2)) AS pages_skipped FROM documents GROUP BY lang",
     "page_canonical_urls": r"SELECT page_id, lower(regexp_extract(url, '(?i)^(https?)://', 1)) || '://' || lower(regexp_extract(url, '://([^/?#]*)', 1)) || CASE WHEN regexp_replace(regexp_replace(url, '#.*$', ''), '^[^:]+://[^/?]*', '') LIKE '/%' THEN '' ELSE '/' END || regexp_replace(regexp_replace(url, '#.*$', ''), '^[^:]+://[^/?]*', '') AS url, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host FROM pages",
     "domain_filter": "WITH h AS (SELECT page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host, regexp_extract(url, '^[^:]+://[^/?#]*([^?#]*)', 1) AS path FROM pages) SELECT page_id, (host = 'example.com' OR ends_with(host, '.example.com')) AND NOT (starts_with(path, '/en/1') OR starts_with(path, '/fr')) AS follows FROM h",
     "page_links": r"""WITH h AS (SELECT url, unnest(list_distinct(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"''>]+)["'']', 1))) AS href FROM pages) SELECT url, count(DISTINCT regexp_replace(href, '#.*$', '')) AS links FROM h WHERE NOT regexp_matches(href, '(?i)^(mailto|javascript|tel|ftp):') GROUP BY url""",
     "snapshot_cache": """
-WITH f AS (SELECT sha1(text) AS checksum, 'u' || lpad(CAST(doc_id AS VARCHAR), 9, '0') AS url, 1735689600 + doc_id * 60 AS stored_at, CAST(strlen(text) AS BIGINT) AS size FROM documents WHERE lang = 'en')
+WITH f AS (SELECT sha1(text) AS checksum, 'u' || lpad(CAST(doc_id AS VARCHAR), 9, '0') AS url, 1735689600 + doc_id * 60 AS stored_at, CAST(strlen(text) AS BIGINT) AS size FROM documents)
 SELECT checksum, min_by(url, (stored_at, url)) AS url, CAST(count(DISTINCT url) AS INTEGER) AS urls, max(stored_at) AS stored_at, max(size) AS size FROM f GROUP BY checksum HAVING max(stored_at) > 1735689600 + 3600""",
     "dedup_prefix_blocks": CONCEPTS + "SELECT block, count(*) AS members, min(id) AS first, max(id) AS last FROM m GROUP BY block",
     "dedup_pairs": CONCEPTS + "SELECT block, a, b, round(score, 6) AS score, 0.9::DOUBLE AS threshold FROM passed",
@@ -206,7 +206,7 @@ SELECT id, rule_ + web_ + model_ > 1.05 + 1e-9 AS passed, round((rule_ + web_ +
 , k AS (SELECT *, row_number() OVER (PARTITION BY concept_id ORDER BY institution, n, text) AS r FROM w),
 once AS (SELECT DISTINCT concept_id, text FROM k WHERE r <= 5)
 SELECT concept_id, count(*) AS contexts FROM once GROUP BY concept_id""",
-    "token_cooccurrence": "SELECT token, count(*) AS count FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9'']+')) AS token FROM conversations WHERE turn = 0) GROUP BY token HAVING count(*) >= 3",
+    "token_cooccurrence": "SELECT token, count(*) AS count FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9'']+')) AS token FROM conversations) GROUP BY token HAVING count(*) >= 3",
     "ambiguity_scores": SENSES + "SELECT label, size, round(pd, 6) AS parent_divergence, round(id_, 6) AS institution_divergence, round(least(1.0, 0.4 * pd + 0.35 + 0.25 * id_), 6) AS score, 'flagged' AS status FROM s",
     "split_shares": """
 WITH w AS (SELECT p_partkey, p_partkey + 1 AS total, [p_size::DOUBLE, 3.0, 5.0] AS w FROM part),
@@ -236,7 +236,7 @@ SELECT p_type, round(avg(p), 6) AS precision, round(avg(r), 6) AS recall, round(
 WITH e AS (SELECT event_type AS stage, round(sum(value), 2) AS seconds, count(*) AS items FROM events GROUP BY event_type)
 SELECT stage, round(seconds / sum(seconds) OVER (), 6) AS share, round(items / seconds, 6) AS per_second, seconds = max(seconds) OVER () AS bottleneck, round(seconds * 1000000 / items, 2) AS projected FROM e""",
     "baseline_deltas": """
-WITH a AS (SELECT event_type, count(*) AS now FROM events WHERE event_id % 2 = 0 GROUP BY 1), b AS (SELECT event_type, count(*) AS before FROM events WHERE event_id % 3 = 0 AND event_type <> 'error' GROUP BY 1)
+WITH a AS (SELECT event_type, count(*) AS now FROM events WHERE day(ts) > 15 GROUP BY 1), b AS (SELECT event_type, count(*) AS before FROM events WHERE day(ts) <= 15 AND event_type <> 'error' GROUP BY 1)
 SELECT event_type, now, before, now - before AS delta, round(now / before, 6) AS ratio FROM a FULL JOIN b USING (event_type)""",
     "call_metrics": """
 WITH t AS (SELECT value, user_id + 1 AS tokens FROM events ORDER BY event_id DESC LIMIT 200)

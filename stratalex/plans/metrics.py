@@ -98,15 +98,13 @@ def call_metrics(calls: DataFrame, last: int = 200) -> DataFrame:
 def canonical_json(value: Any) -> str:
     """The same text for equal values: keys and sets in order."""
 
-    def plain(x: Any, depth: int = 0) -> Any:
-        if depth > 8:
-            return str(x)
+    def plain(x: Any) -> Any:
         if isinstance(x, dict):
-            return {str(k): plain(x[k], depth + 1) for k in sorted(x, key=str)}
+            return {str(k): plain(x[k]) for k in sorted(x, key=str)}
         if isinstance(x, (set, frozenset)):
-            return sorted((plain(v, depth + 1) for v in x), key=str)
+            return sorted((plain(v) for v in x), key=str)
         if isinstance(x, (list, tuple)):
-            return [plain(v, depth + 1) for v in x[:512]]
+            return [plain(v) for v in x]
         return x if isinstance(x, (str, int, float, bool, type(None))) else str(x)
 
     return json.dumps(plain(value), sort_keys=True, separators=(",", ":"))

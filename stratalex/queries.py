@@ -124,8 +124,8 @@ def fold_labels(spark, d):
 
 @query
 def record_fingerprints(spark, d):
-    t = ad.table(spark, d, "documents").where("lang = 'en'")
-    return t.select("doc_id", tx.record_fingerprint(F.lit("some   text "), F.col("source"), F.lit(None).cast("string")).alias("fingerprint"), tx.split_id(F.col("source"), F.col("doc_id") % 7).alias("split_id"))
+    t = ad.table(spark, d, "documents")
+    return t.select("doc_id", tx.record_fingerprint(F.col("text"), F.col("source"), F.lit(None).cast("string")).alias("fingerprint"), tx.split_id(F.col("source"), F.col("doc_id") % 7).alias("split_id"))
 
 
 # similarity
@@ -183,13 +183,13 @@ def double_metaphone_blocks(spark, d):
 
 @query
 def s0_lines(spark, d):
-    each = segment.lines(ad.pages(spark, d).where("lang = 'en'"))
+    each = segment.lines(ad.pages(spark, d))
     return each.groupBy("page").agg(F.count("*").alias("lines"), F.count_if("blank").alias("blanks"), F.count_if(F.col("header") & ~F.col("blank")).alias("headers"), F.count_if(F.col("kind") == "list").alias("listed"), F.count_if(F.col("kind") == "table").alias("tabled"))
 
 
 @query
 def s0_segments(spark, d):
-    found = segment.blocks(ad.pages(spark, d).where("lang = 'en'"))
+    found = segment.blocks(ad.pages(spark, d))
     return found.select("page", F.col("ord").cast("long").alias("ord"), F.md5(F.col("section").cast("binary")).alias("section"), "block_type", F.md5(F.col("text").cast("binary")).alias("text"), "boilerplate")
 
 
@@ -236,7 +236,7 @@ def page_links(spark, d):
 
 @query
 def snapshot_cache(spark, d):
-    p = ad.table(spark, d, "documents").where("lang = 'en'")
+    p = ad.table(spark, d, "documents")
     stored = F.timestamp_seconds(F.lit(1735689600) + F.col("doc_id") * 60)
     fresh = p.select(F.sha1(F.col("text").cast("binary")).alias("checksum"), F.concat(F.lit("u"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("url"), stored.alias("stored_at"), F.octet_length("text").cast("long").alias("size"))
     kept = crawl.merge_cache(None, fresh, F.timestamp_seconds(F.lit(1735689600 + 14 * 86400 + 3600)), WebPolicy())
@@ -259,10 +259,10 @@ def page_snapshots(spark, d):
 
 @query
 def crawl_pages(spark, d):
-    """Rows only: breadth-first from the first pages over the stored ones."""
+    """Rows only: breadth-first from every page over the stored ones, within budgets that do not bind."""
     pages = ad.table(spark, d, "pages")
-    seeds = pages.where("page_id < 40").select("url", (F.col("page_id") % 2).alias("priority"))
-    got = crawl.crawl(seeds, crawl.from_pages(pages), WebPolicy(allowed_domains=("example.com", "example.net", "example.org"), disallowed_paths=(), max_pages=100))
+    seeds = pages.select("url", (F.col("page_id") % 2).alias("priority"))
+    got = crawl.crawl(seeds, crawl.from_pages(pages), WebPolicy(allowed_domains=("example.com", "example.net", "example.org"), disallowed_paths=(), max_pages=(1 << 31) - 1, max_minutes=1 << 20))
     return got.select("page_id", "depth")
 
 
@@ -427,8 +427,7 @@ def context_limited(spark, d):
 
 @query
 def token_cooccurrence(spark, d):
-    t = ad.table(spark, d, "conversations").where("turn = 0")
-    return disambiguate.cooccurrence(t, 3)
+    return disambiguate.cooccurrence(ad.table(spark, d, "conversations"), 3)
 
 
 @query
@@ -577,8 +576,9 @@ def stage_timing(spark, d):
 @query
 def baseline_deltas(spark, d):
     e = ad.table(spark, d, "events")
-    now = e.where("event_id % 2 = 0").groupBy("event_type").agg(F.count("*").alias("n"))
-    before = e.where("event_id % 3 = 0 and event_type <> 'error'").groupBy("event_type").agg(F.count("*").alias("n"))
+    half = F.dayofmonth("ts") > 15  # the later and the earlier half of each month are compared
+    now = e.where(half).groupBy("event_type").agg(F.count("*").alias("n"))
+    before = e.where(~half & (F.col("event_type") != "error")).groupBy("event_type").agg(F.count("*").alias("n"))
     return evaluate.compared(now, before, "event_type", "n").select("event_type", "now", "before", "delta", F.round("ratio", 6).alias("ratio"))
 
 

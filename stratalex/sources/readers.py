@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,24 +72,50 @@ def source_records(spark: SparkSession, paths: str | list[str], level: int | Non
     return rows, bad
 
 
-_DETAIL = "struct<institution:string,institutions:array<string>,record_fingerprints:array<string>,fingerprints:array<string>>"
+_DETAIL = "struct<institution:string,institutions:string,record_fingerprints:string,fingerprints:string,records:string>"
+_PLACES = "institutions string, supporting_institutions string, support_details string, provenance string, record_fingerprints string, fingerprints string, records string"
+
+
+def _listed(raw: Column) -> Column:
+    """Strings of a JSON field that holds a list, or one string; null for anything else."""
+    held = F.trim(raw)
+    return F.when(F.startswith(held, F.lit("[")), F.from_json(held, "array<string>")).when((held != "") & ~F.startswith(held, F.lit("{")), F.array(held))
+
+
+def _structs(raw: Column, kind: str) -> Column:
+    """Structs of a JSON field that holds an object or a list of them."""
+    held = F.trim(raw)
+    return F.when(F.startswith(held, F.lit("[")), F.from_json(held, f"array<{kind}>")).when(F.startswith(held, F.lit("{")), F.array(F.from_json(held, kind)))
 
 
 def evidence(spark: SparkSession, paths: str | list[str], level: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(candidates with evidence, quarantine). A line is {candidate: {...}, institutions: [...], ...} or a bare candidate; names
-    of institutions and fingerprints are gathered from all the places where they may stand."""
-    rows, bad = json_lines(spark, paths, f"{schemas.EVIDENCE}, {schemas.CANDIDATE_FIELDS}, supporting_institutions array<string>, support_details {_DETAIL}, provenance array<{_DETAIL}>, fingerprints array<string>")
+    of institutions and fingerprints are gathered from all the places where they may stand, as lists, strings or objects.
+    `ord` numbers lines in the order of the files as they are read."""
+    fields = T._parse_datatype_string(schemas.CANDIDATE_FIELDS)
+    inner = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in fields)
+    places = _PLACES.replace(" string", ":string").replace(", ", ",")
+    rows, bad = json_lines(spark, paths, f"candidate struct<{inner},{places}>, {schemas.CANDIDATE_FIELDS}, {_PLACES}")
     none = F.array().cast("array<string>")
-    fields = [f.name for f in T._parse_datatype_string(schemas.CANDIDATE_FIELDS)]
-    flat = [F.coalesce(F.col(f"candidate.{n}"), F.col(n)).alias(n) for n in fields]
+    flat = [F.coalesce(F.col(f"candidate.{f.name}"), F.col(f.name)).alias(f.name) for f in fields]
+
+    def gathered(clean: Callable[[Column], Column], *places: Column) -> Column:
+        every = F.transform(F.concat(*[F.coalesce(p, none) for p in places]), clean)
+        return F.array_sort(F.array_distinct(F.filter(every, lambda x: x.isNotNull() & (x != ""))))
+
+    def of(field: str) -> list[Column]:
+        return [F.col(field), F.col(f"candidate.{field}")]
 
-    def gathered(*places: Column) -> Column:
-        return F.array_sort(F.array_distinct(F.filter(F.concat(*[F.coalesce(p, none) for p in places]), lambda x: x.isNotNull() & (x != ""))))
+    def inside(column: Column, *names: str) -> list[Column]:
+        """Lists in objects, whatever their number."""
+        return [F.flatten(F.transform(_structs(column, _DETAIL), lambda d: F.coalesce(_listed(d[n]), none))) for n in names]
 
-    places = gathered(F.col("institutions"), F.col("supporting_institutions"), F.col("support_details.institutions"), F.array("support_details.institution"), F.transform("provenance", lambda p: p["institution"]))
-    prints = gathered(F.col("record_fingerprints"), F.col("fingerprints"), F.col("support_details.record_fingerprints"), F.col("support_details.fingerprints"))
-    out = rows.select(*flat, places.alias("institutions"), prints.alias("record_fingerprints"), "source_file")
-    out = out.select("*", F.coalesce("support.records", F.lit(0)).alias("records"), F.coalesce("support.count", F.lit(0)).alias("count"), F.xxhash64("source_file", "label", "normalized").alias("ord"))
+    told = [_listed(c) for f in ("institutions", "supporting_institutions") for c in of(f)]
+    told += [x for c in of("support_details") for x in inside(c, "institutions", "institution")] + [x for c in of("provenance") for x in inside(c, "institution")]
+    prints = [_listed(c) for f in ("record_fingerprints", "fingerprints", "records") for c in of(f)]
+    prints += [x for c in of("support_details") for x in inside(c, "record_fingerprints", "fingerprints", "records")]
+    out = rows.select(*flat, gathered(tx.squeeze, *told).alias("institutions"), gathered(tx.squeeze_ends, *prints).alias("record_fingerprints"), "source_file")
+    out = out.select("*", F.coalesce("support.records", F.lit(0)).alias("records"), F.coalesce("support.count", F.lit(0)).alias("count"), F.monotonically_increasing_id().alias("ord"))
     return (out if level is None else out.where(F.col("level") == level)), bad
 
 

@@ -153,6 +153,29 @@ def test_evidence_reader(spark, tmp_path):
     assert got == {"X": (["U"], ["f"], 3), "Y": (["V", "W"], ["g"], 0)}
 
 
+def test_evidence_reader_takes_every_shape(spark, tmp_path):
+    base = {"level": 1, "normalized": "y", "parents": ["p"]}
+    rows = [base | {"label": "a", "institutions": "mit"}, base | {"label": "b", "provenance": {"institution": " u  v "}}, base | {"label": "c", "provenance": [{"institution": "w"}, {"institution": None}]}, base | {"label": "d", "records": ["r1", "r2"]}, {"candidate": base | {"label": "e", "institutions": ["x"], "support_details": {"institutions": ["y"], "record_fingerprints": ["r3"]}}, "institutions": ["z"]}, base | {"label": "f"}]
+    (tmp_path / "e.jsonl").write_text("\n".join([*map(json.dumps, rows), "{broken"]))
+    found, bad = readers.evidence(spark, f"file://{tmp_path}/e.jsonl")
+    got = {r["label"]: (r["institutions"], r["record_fingerprints"]) for r in found.collect()}
+    assert got == {"a": (["mit"], []), "b": (["u v"], []), "c": (["w"], []), "d": ([], ["r1", "r2"]), "e": (["x", "y", "z"], ["r3"]), "f": ([], [])}
+    assert [r["label"] for r in found.orderBy("ord").collect()] == list("abcdef") and bad.count() == 1
+
+
+def test_checksums_cover_whole_values():
+    assert metrics.canonical_json(list(range(512))) != metrics.canonical_json(list(range(600)))
+    deep = lambda x, n: x if not n else {"a": deep(x, n - 1)}
+    assert metrics.canonical_json(deep({"b": 1, "c": 2}, 12)) == metrics.canonical_json(deep({"c": 2, "b": 1}, 12))
+
+
+def test_long_chains_are_no_cycles(spark):
+    from stratalex.operators import hierarchy
+
+    chain = spark.createDataFrame([(str(i), str(i + 1)) for i in range(12)], "parent string, child string")
+    assert hierarchy.cyclic(chain).count() == 0
+
+
 def test_command_line(spark, tmp_path, capsys):
     rows = [{"candidate": {"level": 0, "label": "Arts", "normalized": "arts", "support": {"records": 1, "institutions": 1, "count": 1}}, "institutions": ["U"], "record_fingerprints": ["f"]}]
     (tmp_path / "e.jsonl").write_text("\n".join(map(json.dumps, rows)))
