@@ -13,8 +13,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates with evidence: parts that nations' suppliers sold in larger lots."""
-    l = table(spark, sf_dir, "lineitem").where("l_quantity >= 40")  # noqa: E741
+    """Candidates with evidence: parts that nations' suppliers sold."""
+    l = table(spark, sf_dir, "lineitem")  # noqa: E741
     p, s, n = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     rows = l.join(p, l.l_partkey == p.p_partkey).join(s, l.l_suppkey == s.s_suppkey).join(n, s.s_nationkey == n.n_nationkey)
     label = F.concat_ws(" ", "p_name", "p_brand", "p_size")
@@ -46,9 +46,8 @@ def title(text: Column, words: int = 6) -> Column:
 
 
 def concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Concepts at level 2: the first six words of English documents, under their language."""
-    d = table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id", "lang", "n_chars", title(F.col("text")).alias("t"))
-    d = d.where(F.col("t").rlike(r"^[\x20-\x7E]+$"))
+    """Concepts at level 2: the first six words of documents, under their language."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", title(F.col("text")).alias("t"))
     support = F.struct(F.lit(1).cast("long").alias("records"), (F.col("doc_id") % 5 + 1).cast("long").alias("institutions"), F.col("n_chars").cast("long").alias("count"))
     return d.select(F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("id"), F.lit(2).alias("level"), F.col("t").alias("canonical_label"), F.array("lang").alias("parents"), F.array().cast(NONE).alias("aliases"), support.alias("support"))
 
@@ -107,6 +106,6 @@ def senses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def talk(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Concepts and records of conversations: the label is the first word of the first turn, the records are the turns."""
-    t = table(spark, sf_dir, "conversations").where(F.col("text").rlike(r"^[\x0A\x20-\x7E]+$"))
+    t = table(spark, sf_dir, "conversations")
     first = t.where("turn = 0").select(F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("id"), F.lit(1).alias("level"), F.lower(F.element_at(F.split(F.trim("text"), r"\s+"), 1)).alias("canonical_label"), F.array("role").alias("parents"))
     return first, t.select(F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("concept_id"), F.col("turn").alias("n"), "text", F.col("role").alias("institution"), F.lit(None).cast("string").alias("url"))
