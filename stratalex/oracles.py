@@ -200,6 +200,10 @@ SELECT id, count(*) AS snippets, CAST(max(rank) AS INTEGER) AS last FROM u WHERE
 v AS (SELECT c.id, level, label, coalesce(n, 0) AS n, coalesce(mean, 0) AS mean, CAST(c.id[2:] AS INTEGER) % 3 = 0 AS model FROM c LEFT JOIN top USING (id)),
 sums AS (SELECT *, 1.0 AS rule_, CASE WHEN n >= 1 THEN 0.7 ELSE 0.0 END AS web_, CASE WHEN model THEN 0.4 ELSE 0.0 END AS model_ FROM v)
 SELECT id, rule_ + web_ + model_ > 1.05 + 1e-9 AS passed, round((rule_ + web_ + model_) / 2.1, 6)::DOUBLE AS confidence, rule_::DOUBLE AS rule, web_::DOUBLE AS web, model_::DOUBLE AS model FROM sums""",
+    "validate_model": MENTIONS + """
+, top AS (SELECT id, count(*) FILTER (snippet <> '') AS n, avg(score) AS mean FROM rk WHERE rank <= 3 GROUP BY id HAVING count(*) FILTER (snippet <> '') > 0)
+SELECT c.id, coalesce(n > 1, false) AS passed, (CASE WHEN n IS NULL THEN 0.0 ELSE round(0.45 + 0.5 * least(1.0, mean), 6) END)::DOUBLE AS confidence,
+       CASE WHEN n IS NULL THEN 'No evidence' WHEN n > 1 THEN 'Entailment passed' ELSE 'Entailment failed' END AS summary FROM c LEFT JOIN top USING (id)""",
     "context_windows": TALK + "SELECT concept_id, n, text, institution FROM w",
     "context_limited": TALK + """
 , k AS (SELECT *, row_number() OVER (PARTITION BY concept_id ORDER BY institution, n, text) AS r FROM w),
@@ -225,6 +229,10 @@ SELECT (SELECT count(*) FROM nodes) AS node_count, (SELECT count(*) FROM nodes W
  (SELECT max(k) FROM (SELECT count(*) AS k FROM edges GROUP BY parent)) AS max_out_degree, (SELECT max(k) FROM (SELECT count(*) AS k FROM edges GROUP BY child)) AS max_in_degree, (SELECT count(*) FROM edges) AS edge_count""",
     "hierarchy_paths": TREE.replace("WITH n AS", "WITH RECURSIVE n AS") + ", path AS (SELECT id, level, id AS path FROM nodes WHERE level = 0 UNION ALL SELECT n.id, n.level, p.path || ' > ' || n.id FROM path p JOIN edges e ON e.parent = p.id JOIN nodes n ON n.id = e.child) SELECT id, level, path FROM path",
     "hierarchy_violations": TREE + "SELECT 'non-unique-path' AS code, id AS concept_id FROM all_ WHERE len(parents) > 1",
+    "hierarchy_placeholders": TREE + """
+, held AS (SELECT a.id, a.level FROM all_ a JOIN lost USING (id) WHERE len(list_filter(list_distinct(a.parents), lambda x: NOT list_contains(string_split(lost.parents, '|'), x))) = 0),
+every AS (SELECT level FROM nodes UNION ALL SELECT level FROM held UNION ALL SELECT k FROM range(3) AS r(k) WHERE k < (SELECT max(level) FROM lost))
+SELECT CAST(level AS INTEGER) AS level, count(*) AS nodes FROM every GROUP BY level""",
     "hierarchy_adjacency": TREE + "SELECT id, count(child) AS children FROM nodes LEFT JOIN edges ON parent = id GROUP BY id",
     "eval_f1": """
 WITH r AS (SELECT p_type, list_distinct(list_transform(string_split(p_name || ' ' || p_type, ' '), lambda x: lower(x))) AS e, CASE WHEN p_partkey % 5 = 0 THEN [] ELSE list_distinct(list_transform(string_split(p_name || ' ' || p_brand, ' '), lambda x: lower(x))) END AS f FROM part),

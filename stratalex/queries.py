@@ -402,7 +402,7 @@ def validate_vote(spark, d):
 
 @query
 def validate_model(spark, d):
-    """Rows only: the entailment step with an offline model."""
+    """The entailment step with an offline model."""
     c, s = _snippets(spark, d)
     m = validate.model(c, validate.top_snippets(s), expression(F.to_json(F.struct((F.size("evidence") > 1).alias("pass"), F.lit(0.9).alias("confidence")))))
     return m.select("id", "model.passed", F.round("model.confidence", 6).alias("confidence"), "model.summary")
@@ -537,7 +537,7 @@ def hierarchy_violations(spark, d):
 
 @query
 def hierarchy_placeholders(spark, d):
-    """Rows only: orphans under placeholders."""
+    """Orphans under placeholders."""
     h = hierarchy.assemble(ad.hierarchy_concepts(spark, d), HierarchyPolicy(orphan_strategy="attach_placeholder"))
     return h.nodes.groupBy("level").agg(F.count("*").alias("nodes"))
 
