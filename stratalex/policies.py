@@ -176,7 +176,7 @@ class HierarchyPolicy:
     placeholder_prefix: str = "placeholder::"
     strict_levels: bool = True
     allow_shortcuts: bool = False
-    max_nodes: int = 100_000
+    max_nodes: int | None = 100_000  # None: as many as there are
 
     def __post_init__(self) -> None:
         if self.orphan_strategy not in ("quarantine", "drop", "attach_placeholder"):

@@ -2,10 +2,14 @@
 
 import difflib
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from stratalex import queries
-from stratalex.operators import extract
+from stratalex.operators import extract, hierarchy
+from stratalex.oracles import ORACLES
+from stratalex.policies import HierarchyPolicy
 
 
 def test_combined_similarity_takes_every_part(spark, tmp_path):
@@ -43,3 +47,30 @@ def test_fuzzy_parents_in_blocks(spark, monkeypatch, most):
         want[anchor, level] = list(dict.fromkeys(exact or found)) or [f"UNRESOLVED:{anchor}"]
     got = {(r["anchor"], r["level"]): list(r["parent_ids"]) for r in extract.resolve(anchors, parents).collect()}
     assert got == want and not got["mechanical engineering x", 1][0].startswith("UNRESOLVED")
+
+
+@pytest.mark.parametrize("name", ["hierarchy_edges", "hierarchy_orphans"])
+def test_hierarchies_take_every_concept(spark, tmp_path, name):
+    """More concepts than the policy's default bound."""
+    made = {
+        "region": spark.range(3).select(F.col("id").cast("int").alias("r_regionkey"), F.col("id").cast("string").alias("r_name")),
+        "nation": spark.range(9).select(F.col("id").cast("int").alias("n_nationkey"), F.col("id").cast("string").alias("n_name"), (F.col("id") % 3).cast("int").alias("n_regionkey")),
+        "supplier": spark.range(700).select(F.col("id").alias("s_suppkey"), F.col("id").cast("string").alias("s_name"), (F.col("id") % 9).cast("int").alias("s_nationkey")),
+        "customer": spark.range(110_000).select(F.col("id").alias("c_custkey"), F.col("id").cast("string").alias("c_name")),
+    }
+    connection = duckdb.connect()
+    for table, rows in made.items():
+        rows.coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
+        connection.execute(f"create view {table} as select * from '{tmp_path}/{table}.parquet/*.parquet'")
+    want = connection.execute(ORACLES[name]).fetchall()
+    columns = [c[0] for c in connection.description]
+    assert sorted(tuple(r[c] for c in columns) for r in queries.QUERIES[name](spark, str(tmp_path)).collect()) == sorted(want)
+
+
+def test_bounded_hierarchy_orders_one_level(spark):
+    rows = [("r", 0, "r", []), *[(f"n{k}", 1, "n", ["r"]) for k in range(5)], ("s", 2, "s", ["n0"])]
+    concepts = spark.createDataFrame(rows, "id string, level int, canonical_label string, parents array<string>")
+    for most, ids in ((3, {"r", "n0", "n1"}), (6, {"r", *[f"n{k}" for k in range(5)]}), (7, {r[0] for r in rows}), (None, {r[0] for r in rows})):
+        h = hierarchy.assemble(concepts, HierarchyPolicy(max_nodes=most))
+        assert {r["id"] for r in h.nodes.collect()} == ids
+        assert {(r["concept_id"], r["detail"]) for r in h.orphans.collect()} == {(r[0], "the hierarchy is full") for r in rows if r[0] not in ids}
