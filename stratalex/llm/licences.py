@@ -1,7 +1,7 @@
 """Licence scan in DataFrame functions only: TF-IDF cosine of headers and licence files to templates, then inheritance.
 
-Texts are cut into units of three kinds: sentences of lines; windows of WINDOW consecutive short lines, every STRIDE lines, as
-headers are wrapped; and paragraphs between blank lines of up to PARAGRAPH words, the whole text if it has no blank line. A
+Texts are cut into units of three kinds: sentences of lines; windows of WINDOW consecutive lines, every STRIDE lines, as
+headers are wrapped; and paragraphs between blank lines, the whole text if it has no blank line; however long they are. A
 unit's term weights are tf * idf with idf counted over all documents, idf = ln((1 + N) / (1 + df)) + 1. A unit names the
 template of the greatest cosine that is THRESHOLD or more. Only units with a cue term are weighed: a template's cue terms
 are those that remain when the most common terms, together too light to reach the threshold, are taken away, so no unit that
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from .base import ascii_lower, cut, numbered, pick, position
 
 THRESHOLD = 0.6
-#: Lines of a window, lines from one to the next, characters of a line in it at most; words of a paragraph at most.
-WINDOW, STRIDE, LINE, PARAGRAPH = 6, 3, 200, 400
+#: Lines of a window, lines from one to the next; neither characters of a line nor words of a paragraph are bounded.
+WINDOW, STRIDE, LINE, PARAGRAPH = 6, 3, math.inf, math.inf
 #: Terms that are broadcast when their documents are counted; more are joined by a shuffle.
 BROADCAST_TERMS = 1 << 18
 RESERVED = "Proprietary"
@@ -126,10 +126,9 @@ def units_of(body: Column, cues: Column) -> Column:
     said = lambda kind: lambda u: F.struct(F.lit(kind).alias("kind"), u.alias("said"))
     has_cue = lambda u: F.arrays_overlap(F.split(u, WORD), cues)
     lines = F.split(body, "\n")
-    short = lambda from_: F.forall(F.slice(lines, from_, WINDOW), lambda line: F.char_length(line) <= LINE)
-    starts = F.when(F.size(lines) > 1, F.filter(F.sequence(F.lit(1), F.size(lines), F.lit(STRIDE)), short)).otherwise(F.array().cast("array<int>"))
+    starts = F.when(F.size(lines) > 1, F.sequence(F.lit(1), F.size(lines), F.lit(STRIDE))).otherwise(F.array().cast("array<int>"))
     windows = F.transform(starts, lambda k: F.array_join(F.slice(lines, k, WINDOW), "\n"))
-    paragraphs = F.filter(F.split(body, BLANK), lambda u: F.size(F.split(u, WORD)) <= PARAGRAPH)
+    paragraphs = F.split(body, BLANK)
     return F.concat(*[F.transform(F.filter(u, has_cue), said(kind)) for kind, u in enumerate((F.split(body, UNIT), paragraphs, windows))])
 
 
@@ -165,7 +164,8 @@ def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: Column
     met = units.select(*unit, "n", F.size("said").alias("said_words"), F.filter("said", lambda t: t.isin(vocabulary)).alias("met"))
     met = met.select(*unit, "n", "said_words", (F.col("said_words") - F.size("met")).alias("others"), F.explode("met").alias("term")).groupBy(*unit, "term").agg(F.count("*").alias("tf"), *[F.first(c).alias(c) for c in ("n", "said_words", "others")])
     known = F.broadcast(spark.createDataFrame(list(idf.items()), "term string, idf double"))
-    met = cut(met.join(known, "term").withColumn("w", F.col("tf") * F.col("idf")), "template-terms")
+    # dealt by unit before the templates multiply its rows, so that these need no shuffle of their own
+    met = cut(met.join(known, "term").withColumn("w", F.col("tf") * F.col("idf")), "template-terms").repartition(*unit)
     weights = F.broadcast(spark.createDataFrame([(t, k, v) for k, _, vector in vectors for t, v in vector.items()], "term string, template int, share double"))
     names = F.broadcast(spark.createDataFrame([(k, licence) for k, licence, _ in vectors], "template int, licence string"))
     dots = met.join(weights, "term").groupBy(*unit, "template").agg(F.sum(F.col("w") * F.col("share")).alias("dot")).join(names, "template")

@@ -171,6 +171,24 @@ def test_op6_paths_and_odd_rows(spark, odd, clashing, broadcast_terms):
         assert licences.scan(odd).count() == odd.count() and licences.scan(odd.limit(0)).count() == 0
 
 
+def test_op6_long_paragraphs_and_lines(spark):
+    """A notice that only a paragraph of over 400 words holds, and one that only a window of lines of over 200 characters holds."""
+    permission = next(x for name, x in licences.TEMPLATES if name == "MIT" and "sublicense" in x)
+    words = re.split(licences.WORD, permission.lower())[:-1]
+    scattered = " ".join(f"{w}." for w in words * 6)
+    lines = [" ".join(words[k :: 6] * 5) for k in range(6)]
+    filler = [" ".join(f"word{k}x{n}" for n in range(120)) for k in range(24)]
+    wrapped = "\n".join([*filler[:12], *lines, *filler[12:]])
+    assert len(words) * 6 > 400 and min(map(len, lines)) > 200
+    rows = [(1, scattered, "a/x"), (2, wrapped, "b/x"), (3, "\n".join(filler), "c/x"), *[(k, " ".join(dict.fromkeys(words)), "d/x") for k in range(4, 8)]]
+    want = list(brute_licences(rows))
+    from pyspark.sql import functions as F
+
+    found = licences.scan(spark.createDataFrame(rows, "doc_id int, text string, path string"), path=F.col("path"))
+    same(found.drop("cosine"), [(w[0], w[1], w[3], w[4]) for w in want])
+    assert {r["doc_id"]: (r["licence"], r["origin"]) for r in found.where("doc_id < 4").collect()} == {1: ("MIT", "file"), 2: ("MIT", "header"), 3: (None, "none")}
+
+
 def test_op10_brute_force(spark, data, monkeypatch):
     """Rows are whole, and each lies in the shard that it is said to lie in, of the size that the file has."""
     import pyarrow.parquet as pq
