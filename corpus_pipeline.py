@@ -28,7 +28,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group linked by Jaccard similarity of at least 0.8 of five-word shingles."""
+    """Keeps one document of each group linked by Jaccard similarity of at least 0.8 of five-word shingles; candidates by the trees of
+    SimHash fingerprints, and by MinHash and a prefix join what these miss."""
     return shingles.drop_similar(docs)
 
 

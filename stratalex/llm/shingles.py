@@ -2,10 +2,12 @@
 
 1. Every text becomes the set of its word shingles (five words, ASCII lower case; fewer words make one shingle of all of
    them). Equal sets become one point.
-2. Each point gets BANDS keys, each of ROWS least hash values of its set (MinHash). Two sets of similarity 0.8 share
-   none with a probability of (1 - 0.8 ** ROWS) ** BANDS = 5e-8; points that share a key are candidates.
-3. Links are confirmed on the sets themselves, first those of each key's points to its least point, so a large group of copies
-   costs one row a copy and key.
+2. Each point gets the SimHash fingerprint of its set. The vantage-point trees of simhash give the links of up to RADIUS bits as a
+   forest; points of a fingerprint are candidates with its least point, near fingerprints by their least points.
+3. SimHash alone loses links: sets of similarity 0.8 differ by 3 to 11 bits. So each point also gets BANDS keys, each of ROWS
+   least hash values of its set (MinHash). Two sets of similarity 0.8 share none with a probability of
+   (1 - 0.8 ** ROWS) ** BANDS = 5e-8; points that share a key are candidates. All links are confirmed on the sets themselves, first
+   those of the trees and of each key's points to its least point, so a large group of copies costs one row a copy and key.
 4. Points of keys that still hold several components are joined exactly: shingles are ordered by rarity among these points, and
    points of different components meet only under a shingle of both prefixes that the length and positional bounds admit; first
    each with the shingle's most central point (the fewest rarer shingles before it), then with all that are still apart and
@@ -25,10 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import cut, position, with_columns
-from .simhash import SEED, components
+from .simhash import SEED, components, majority, near_links
 
 WORDS, LEAST = 5, 0.8
 BANDS, ROWS = 32, 4
+RADIUS = 2
 _RANDOM = np.random.default_rng(SEED)
 _MIX = _RANDOM.integers(0, 1 << 64, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
 #: Hash values mixed at once.
@@ -57,12 +60,13 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 
 def _described(texts: list, words: int) -> list[list]:
-    point, bands = [], []
+    point, fingerprint, bands = [], [], []
     for t in texts:
         values = shingles(t, words)
         point.append(int(np.uint64(xxhash.xxh64_intdigest(values.tobytes(), SEED)).view(np.int64)))
+        fingerprint.append(majority(values))
         bands.append(band_keys(values).view(np.int64).tolist())
-    return [point, bands]
+    return [point, fingerprint, bands]
 
 
 #: Long values that hold the parities of a set.
@@ -85,11 +89,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def _links(points: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
-    """points (point, bands, k, one: the id of a row with k), texts (doc_id, k, text): (node, root) of each point that has a link and is not its component's least."""
+    """points (point, fingerprint, bands, k, one: the id of a row with k), texts (doc_id, k, text): (node, root) of each point that has a link and is not its component's least."""
     each = points.select("point", F.explode("bands").alias("key"))
     shared = each.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = cut(each.join(shared, "key"), "members")
-    wanted = points.select("point", "k", "one").join(members.select("point").distinct(), "point")
+    tried = tree_pairs(points)
+    met = members.select("point").unionAll(tried.select("a")).unionAll(tried.select("b")).distinct()
+    wanted = points.select("point", "k", "one").join(met, "point")
     # By text and id, so that copies of a text spread over tasks, and only one of them is kept
     asked = wanted.select(F.col("k").alias("ask_k"), F.col("one").alias("ask_id"))
     held = texts.join(asked, (F.col("k") == F.col("ask_k")) & F.col("doc_id").eqNullSafe(F.col("ask_id")))
@@ -98,7 +104,7 @@ def _links(points: DataFrame, texts: DataFrame, words: int, least: float) -> Dat
     made = cut(wanted.join(with_columns(held, ["text"], lambda t: _sets(t, words), schema, ["k"]), "k").select("point", "s", "parity"), "sets")
     sets, parities = made.select("point", "s"), made.select("point", "parity")
     starred = _starred(members, members.groupBy("key").agg(F.min("point").alias("a")), F.lit(True))
-    edges = cut(_confirmed(_pairs(starred), sets, least), "links")
+    edges = cut(_confirmed(_pairs(tried.unionAll(starred)), sets, least), "links")
     stars = components(edges)
     now = _rooted(members, stars)
     several = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
@@ -111,6 +117,15 @@ def _links(points: DataFrame, texts: DataFrame, words: int, least: float) -> Dat
     return stars
 
 
+def tree_pairs(points: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """points (point, fingerprint): candidates (a, b) whose fingerprints are linked by up to `radius` bits, a spanning forest of them."""
+    least = cut(points.groupBy("fingerprint").agg(F.min("point").alias("a")), "fingerprints")
+    same = points.select("point", "fingerprint").join(least, "fingerprint").where("a <> point").select("a", F.col("point").alias("b"))
+    near = near_links(least.select("fingerprint"), radius).toDF("x", "y")
+    near = near.join(least.withColumnRenamed("fingerprint", "x"), "x").join(least.toDF("y", "b"), "y").select("a", "b")
+    return cut(same.unionAll(near), "tree-pairs")
+
+
 def _rooted(rows: DataFrame, stars: DataFrame) -> DataFrame:
     return rows.join(stars.withColumnRenamed("node", "point"), "point", "left").withColumn("root", F.coalesce("root", "point"))
 
@@ -180,9 +195,9 @@ def drop_similar(df: DataFrame, doc_id: str = "doc_id", text: str = "text", word
     wide = df.toDF(*[f"c{i}" for i in range(len(names))])
     key, body = f"c{position(df, doc_id)}", f"c{position(df, text)}"
     wide = wide.withColumn("k", F.xxhash64(F.coalesce(F.col(body).cast("string"), F.lit("")), F.col(body).isNull()))
-    schema = pa.schema([("point", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("point", pa.int64()), ("fingerprint", pa.int64()), ("bands", pa.list_(pa.int64()))])
     rows = cut(with_columns(wide.select(F.col(key).alias("doc_id"), "k", F.col(body).alias("text")), ["text"], lambda t: _described(t, words), schema, ["doc_id", "k"]), "shingled")
-    first = F.min_by(F.struct("bands", "k", F.col("doc_id").alias("one")), F.struct("k", "doc_id")).alias("first")
+    first = F.min_by(F.struct("fingerprint", "bands", "k", F.col("doc_id").alias("one")), F.struct("k", "doc_id")).alias("first")
     points = cut(rows.groupBy("point").agg(first).select("point", "first.*"), "points")
     stars = _links(points, wide.select(F.col(key).alias("doc_id"), "k", F.col(body).alias("text")), words, least)
     near = rows.groupBy("point", "doc_id", "k").agg(F.count("*").alias("rows")).join(stars.withColumnRenamed("node", "point"), "point", "left").withColumn("root", F.coalesce("root", "point"))

@@ -73,6 +73,11 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def majority(values: np.ndarray) -> int:
+    """The fingerprint (long) of hash values; zero if there are none."""
+    return _signed(_majority(values)) if len(values) else 0
+
+
 def hamming(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
     return np.bitwise_count(points ^ vantage).astype(np.int16)
 

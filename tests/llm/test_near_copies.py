@@ -96,3 +96,32 @@ def test_odd_rows(spark, clashing):
     out = shingles.drop_similar(clashing)
     assert out.columns == clashing.columns and out.dtypes == clashing.dtypes and 0 < out.count() < clashing.count()
     assert shingles.drop_similar(clashing.limit(0)).count() == 0
+
+
+def test_trees_of_fingerprints_give_candidates(spark):
+    """The forest joins whatever chains of two bits join, and every pair of it lies in one such chain."""
+    rng = random.Random(5)
+    base = [rng.getrandbits(63) for _ in range(40)]
+    prints = [x ^ sum(1 << b for b in rng.sample(range(63), rng.choice([0, 0, 1, 2, 3]))) for x in base for _ in range(6)]
+    points = list(enumerate(prints))
+    found = shingles.tree_pairs(spark.createDataFrame(points, "point long, fingerprint long")).collect()
+
+    def roots(pairs):
+        root = list(range(len(points)))
+        for _ in points:
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    near = [(a, b) for a, x in points for b, y in points if a < b and (x ^ y).bit_count() <= 2]
+    assert near and roots([(r["a"], r["b"]) for r in found]) == roots(near)
+
+
+def test_near_copies_meet_by_fingerprints(spark, monkeypatch):
+    """The stage asks the trees, and confirms what they give on the sets."""
+    asked = []
+    trees = shingles.near_links
+    monkeypatch.setattr(shingles, "near_links", lambda points, radius: asked.append(radius) or trees(points, radius))
+    words = [f"w{k}" for k in range(300)]
+    rows = [(0, " ".join(words)), (1, " ".join([*words[:299], "other"])), (2, " ".join(words[::-1])), (3, "")]
+    assert kept(spark, rows) == brute(rows) == {0, 2, 3} and asked == [shingles.RADIUS]
