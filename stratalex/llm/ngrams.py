@@ -15,7 +15,7 @@ A document's score is the sum of log S over its words. The relations:
    in it are counted in other documents; otherwise it cannot be.
 3. counts (key, total): occurrences summed by key, partitioned by its hash.
 4. told (chunk, key, total): occurrences joined to counts on the key, where other chunks have the n-gram too.
-5. scores: each chunk meets its told rows, by a shuffle on the chunk, and sums by document.
+5. scores: each chunk meets its told rows, packed and shuffled on the chunk, and sums by document.
 
 Everything grows with the n-grams of the corpus and nothing with a square. An n-gram is told by a 64-bit hash: among
 10^13 distinct ones a given n-gram shares its hash with another with a probability of 5e-7.
@@ -41,10 +41,13 @@ ORDER, BACKOFF, LEAST = 3, 0.4, 1
 CHUNK_WORDS = 1 << 20
 #: Rows of an Arrow batch of occurrences.
 ROWS = 1 << 16
+#: Told rows that are packed together.
+PACK = 1 << 20
 _A, _B, _S = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(29)
 
 CHUNK = "chunk long, n_words long, doc_ids array<long>, sizes binary, vocabulary binary, words binary"
 OCCURRENCE = "key long, chunk long, own int"
+PACKED = "chunk long, keys binary, totals binary"
 SCORE = "doc_id long, n_words long, n_backoff long, log_score double"
 
 
@@ -113,7 +116,8 @@ class _Chunk:
         self.place = np.arange(len(self.hashes)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)  # of a word in its document
         self.told = None
         if told is not None:
-            keys, totals = np.asarray(told.column("key")).view(np.uint64), np.asarray(told.column("total"))
+            keys = np.concatenate([np.zeros(0, np.uint64), *[unpack_keys(k) for k in told.column("keys").to_pylist()]])
+            totals = np.concatenate([np.zeros(0, np.int64), *[from_planes(t, np.int64) for t in told.column("totals").to_pylist()]])
             order = np.argsort(keys)
             self.told = keys[order], totals[order]
 
@@ -217,6 +221,30 @@ def _told(occurrences: DataFrame) -> DataFrame:
     return parted.join(counts.select(F.col("key").alias("counted"), "total"), F.col("key") == F.col("counted")).where("total > own").select("chunk", "key", "total")
 
 
+def _pack(batches):
+    """told rows, packed by chunk for the way back: keys ascending, and their totals. Never more rows than told has."""
+
+    def close(held: list[pa.RecordBatch]):
+        rows = pa.Table.from_batches(held)
+        chunk, key, total = np.asarray(rows.column("chunk")), np.asarray(rows.column("key")).view(np.uint64), np.asarray(rows.column("total"))
+        order = np.lexsort((key, chunk))
+        chunk, key, total = chunk[order], key[order], total[order]
+        numbers, first = np.unique(chunk, return_index=True)
+        ends = [*first[1:].tolist(), len(chunk)]
+        keys = [pack_keys(key[a:b]) for a, b in zip(first.tolist(), ends)]
+        totals = [planes(total[a:b]) for a, b in zip(first.tolist(), ends)]
+        return pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(keys, pa.binary()), pa.array(totals, pa.binary())], names=["chunk", "keys", "totals"])
+
+    held = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= PACK:
+            yield close(held)
+            held = []
+    if held and any(b.num_rows for b in held):
+        yield close(held)
+
+
 def score(df: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, least: int = LEAST, backoff: float = BACKOFF, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """doc_id, n_words, n_backoff (words scored by backing off), log_score and mean_log (log_score by n_words)."""
     bound_batches(df.sparkSession)
@@ -224,9 +252,11 @@ def score(df: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int
     total = chunks.agg(F.sum("n_words")).first()[0] or 0
     told = _told(chunks.select("chunk", "sizes", "vocabulary", "words").mapInArrow(_occurrences(order), OCCURRENCE))
     stored = chunks.drop("n_words")  # all levels share one exchange of these
+    # written, so that the exchanges before are freed; then dealt once for all levels: a union of tables dealt alike stays dealt
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    told = cut(told, "told").mapInArrow(_pack, PACKED).repartition(parts, "chunk")
     for n in range(3, order + 1):
-        told = cut(told, "told")
         longer = stored.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_longer(n, least), OCCURRENCE)
-        told = told.unionAll(_told(longer))
+        told = told.unionAll(_told(longer).mapInArrow(_pack, PACKED).repartition(parts, "chunk"))
     scored = stored.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_scores(order, least, int(total), backoff), SCORE)
     return scored.withColumn("mean_log", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))

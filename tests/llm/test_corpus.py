@@ -67,6 +67,24 @@ def test_op8_joins_counts_to_occurrences(spark, data):
     assert re.search("SortMergeJoin|HashJoin", text)
 
 
+def test_op8_packs_told_rows_whole(monkeypatch):
+    """Whatever is packed together, every told row comes back once, with its chunk."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    key, chunk, total = rng.integers(-(1 << 63), 1 << 63, 1000), rng.integers(0, 5, 1000), rng.integers(1, 1 << 40, 1000)
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[k : k + 130]) for x in (chunk, key, total)], names=["chunk", "key", "total"]) for k in range(0, 1000, 130)]
+    for most in (1, 300, 1 << 20):
+        monkeypatch.setattr(ngrams, "PACK", most)
+        packed = pa.Table.from_batches(ngrams._pack(iter(batches)))
+        found = []
+        for c, k, t in zip(*(packed.column(n).to_pylist() for n in ("chunk", "keys", "totals"))):
+            found += [(c, a, b) for a, b in zip(ngrams.unpack_keys(k).view(np.int64).tolist(), ngrams.from_planes(t, np.int64).tolist())]
+        assert sorted(found) == sorted(zip(chunk.tolist(), key.tolist(), total.tolist()))
+    assert not list(ngrams._pack(iter([batches[0].slice(0, 0)])))
+
+
 def brute_units(body):
     yield from ((0, u) for u in re.split(licences.UNIT, body))
     yield from ((1, u) for u in re.split(licences.BLANK, body) if len(re.split(licences.WORD, u)) <= licences.PARAGRAPH)
