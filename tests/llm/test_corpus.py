@@ -85,6 +85,44 @@ def test_op8_packs_told_rows_whole(monkeypatch):
     assert not list(ngrams._pack(iter([batches[0].slice(0, 0)])))
 
 
+def test_op8_tells_chunks_without_keys(spark, monkeypatch):
+    """What comes back lies in the order of parts and keys, so that packs need no keys; a lost, doubled or foreign pack is found."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(5)
+    keys = np.unique(np.concatenate([rng.integers(-(1 << 63), 1 << 63, 3000), [0, -1, 1 << 62]]).view(np.uint64))
+    for parts in (1, 7, 70_000):
+        dealt = spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "key long").select(F.pmod(F.hash("key"), F.lit(parts))).collect()
+        assert ngrams.part_of(keys, parts).tolist() == [r[0] for r in dealt]
+    key, chunk = np.concatenate([keys, keys[::2]]).view(np.int64), np.repeat([4, 9], [len(keys), len(keys[::2])])
+    total = rng.integers(0, 1 << 40, len(key))
+    mixed = rng.permutation(len(key))
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[mixed[k : k + 130]]) for x in (chunk, key, total)], names=["chunk", "key", "total"]) for k in range(0, len(key), 130)]
+    packed = pa.Table.from_batches(ngrams._pack(iter(batches), 7))
+    assert "keys" not in packed.column_names and len(packed) == 14
+    whole = packed.append_column("longest", pa.array([2] * len(packed)))
+    empty = (np.zeros(1, np.uint32).tobytes(), b"", b"")
+    for number, own in ((4, keys), (9, keys[::2])):
+        told = whole.filter(pa.array([c == number for c in whole.column("chunk").to_pylist()]))
+        order = rng.permutation(len(own))
+        assert (ngrams._Chunk(*empty, told, 7).elsewhere(2, own[order]) == total[chunk == number][order]).all()
+        for wrong in (told.slice(1), whole):
+            with pytest.raises(ValueError):
+                ngrams._Chunk(*empty, wrong, 7).elsewhere(2, own)
+
+
+def test_op8_words_are_those_of_bytes():
+    import pyarrow as pa
+
+    texts = [None, "", " ", " a\x0bB  c\x0c", "É\x85İ \xa0K", "\x1c \x1f\x00 z\r\n", "\U0001f600 Q\tq"]
+    want = [t.encode().lower().split() if t else [] for t in texts]
+    for first in (0, 2):
+        found, counts = ngrams._words(pa.array(texts).slice(first))
+        assert counts.tolist() == [len(w) for w in want[first:]] and found.to_pylist() == [x for w in want[first:] for x in w]
+
+
 def brute_units(body):
     yield from ((0, u) for u in re.split(licences.UNIT, body))
     yield from ((1, u) for u in re.split(licences.BLANK, body) if len(re.split(licences.WORD, u)) <= licences.PARAGRAPH)
