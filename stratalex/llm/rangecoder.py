@@ -5,9 +5,9 @@ are cut into blocks of equal length; each block starts from the same fresh model
 blocks advance together, one rank each a step, as lanes of NumPy arrays; arithmetic is on integers only, so that every
 machine decodes alike.
 
-A step codes one rank. Order 2 and order 1 each predict a rank from a hashed context; adaptive hit rates of their
-confidences are mixed by an adaptive weight into the shares of "order 2 is right" and "order 1 is right". The rest of
-the interval goes to order 0: adaptive frequencies of the octaves of ranks (0, 1-2, 3-6, 7-14, ...), each cut evenly among
+A step codes one rank. Order 2 and order 1 each predict a rank from a hashed context, with an adaptive confidence; what is known
+of each confidence is mixed by an adaptive weight into the shares of "order 2 is right" and "order 1 is right". The rest of
+the interval goes to order 0: the segment's frequencies of the octaves of ranks (0, 1-2, 3-6, 7-14, ...), each cut evenly among
 its ranks. The range coder keeps 60 bits and moves whole 16-bit words; carries are added to the words before at the end.
 """
 
@@ -16,17 +16,19 @@ from __future__ import annotations
 import numpy as np
 
 #: Longest block, shortest block, and lanes that advance together.
-BLOCK, LEAST_BLOCK, LANES = 1024, 256, 2048
+BLOCK, LEAST_BLOCK, LANES = 512, 256, 4096
 #: Octaves of ranks at most, which bounds the distinct ids of a segment.
 OCTAVES = 24
-_TABLE = 512
+_TABLE = 128
 _MASK = np.int64(_TABLE - 1)
 _U16, _U44 = np.uint64(16), np.uint64(44)
 _TOP, _LOW44, _SPAN = np.uint64(1 << 44), np.uint64((1 << 44) - 1), np.uint64(1 << 60)
-#: Least share of an octave, of 2^16; shares follow the ranks met by 1/32 each time.
-_LEAST, _SPEED = 96, 5
-#: Least share of order 1 or 2; together they have 2^16 times 64000/65536 at most, since rates stay below 64000.
-_FLOOR = 32
+#: Least share of an octave, of 2^16.
+_LEAST = 96
+#: Hit rate of a confidence, of 2^16: where the orders differ, then where they agree. With a weight between 2048 and 63488, a
+#: share is 64 or more, and those of both orders are 2^16 times 60000/65536 at most.
+_RATE = np.minimum(4096 + 3600 * np.arange(16), 60000)
+_RATE = np.concatenate([_RATE // 2, _RATE])
 
 
 def octave(ranks: np.ndarray) -> np.ndarray:
@@ -38,71 +40,44 @@ class _Model:
     """State of all lanes. predict() gives the shares of order 2 and 1; update() learns."""
 
     def __init__(self, lanes: int, counts: np.ndarray):
-        """counts: ranks in each octave over the segment, from which order 0 starts."""
-        self.lanes, self.octaves = lanes, len(counts)
-        self.row = np.arange(lanes, dtype=np.int64)
-        self.row_t, self.row_a = self.row * _TABLE, self.row * 32
-        self.mixed, self.mixed_before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        """counts: ranks in each octave over the segment, which are order 0."""
+        self.row_t = np.arange(lanes, dtype=np.int64) * _TABLE
+        self.before = np.zeros(lanes, np.int64)  # of the rank before the last, hashed
         self.table1, self.table2 = np.zeros(lanes * _TABLE, np.int32), np.zeros(lanes * _TABLE, np.int32)  # rank << 4 | confidence
-        start = np.minimum(4096 + 3600 * np.arange(16), 60000)
-        self.rate1 = np.tile(np.concatenate([start // 2, start]), lanes).astype(np.int32)
-        self.rate2 = self.rate1.copy()
         self.weight = np.full(lanes, 1 << 15, np.int64)
-        # order 0: cumulative shares of the octaves without their least shares, a row for each bound
-        self.spare = (1 << 16) - _LEAST * self.octaves
-        share = np.cumsum(counts.astype(np.int64)) * self.spare // max(1, int(counts.sum()))
-        share[-1] = self.spare
-        self.shares = np.repeat(np.concatenate([[0], share]).astype(np.int32), lanes).reshape(self.octaves + 1, lanes)
-        self.flat = self.shares.reshape(-1)
-        self.bound = np.arange(self.octaves + 1, dtype=np.int8)[:, None]
-        self.least = (_LEAST * np.arange(self.octaves + 1, dtype=np.int32))[:, None]
+        spare = (1 << 16) - _LEAST * len(counts)
+        share = np.cumsum(counts.astype(np.int64)) * spare // max(1, int(counts.sum()))
+        share[-1] = spare
+        self.bounds = np.concatenate([[0], share]) + _LEAST * np.arange(len(counts) + 1)  # of octaves, cumulative shares of 2^16
 
     def predict(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """seen: the ranks before."""
-        self.mixed_before, self.mixed = self.mixed, seen * 40503
+        mixed = seen * 40503
         self.at1 = (seen & _MASK) + self.row_t
-        self.at2 = ((self.mixed ^ (self.mixed_before >> 3) ^ (self.mixed >> 11)) & _MASK) + self.row_t
+        self.at2 = ((mixed ^ self.before) & _MASK) + self.row_t
+        self.before = mixed >> 3
         self.e1, self.e2 = self.table1.take(self.at1), self.table2.take(self.at2)
         self.p1, self.p2 = self.e1 >> 4, self.e2 >> 4
         self.c1, self.c2 = self.e1 & 15, self.e2 & 15
         agree = (self.p1 == self.p2).view(np.int8)
-        flag = (agree << 4) + self.row_a
-        self.a1, self.a2 = flag + self.c1, flag + self.c2
-        self.r1, self.r2 = self.rate1.take(self.a1), self.rate2.take(self.a2)
-        second = np.maximum(self.weight * self.r2 >> 16, _FLOOR)
-        first = np.maximum(((1 << 16) - self.weight) * self.r1 >> 16, _FLOOR)
+        flag = agree << 4
+        second = self.weight * _RATE.take(self.c2 + flag) >> 16
+        first = ((1 << 16) - self.weight) * _RATE.take(self.c1 + flag) >> 16
         shared = agree * first
         return second + shared, first - shared
 
-    def span_of(self, octaves: np.ndarray, both: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and end of an octave in the part of the interval that order 0 has."""
-        at = octaves * self.lanes + self.row
-        low, high = self.flat.take(at) + octaves * _LEAST, self.flat.take(at + self.lanes) + (octaves + 1) * _LEAST
-        return both + (rest * low >> 16), both + (rest * high >> 16)
-
-    def find(self, value: np.ndarray, both: np.ndarray, rest: np.ndarray) -> np.ndarray:
-        """The octave that holds the value: bounds b with both + (rest * b >> 16) <= value are passed."""
-        passed = np.maximum(((value - both + 1 << 16) - 1) // rest, 0).astype(np.int32)
-        return np.add.reduce(self.shares[1:-1] <= passed - self.least[1:-1], axis=0, dtype=np.int8).astype(np.int64)
-
-    def update(self, ranks: np.ndarray, hit1: np.ndarray, hit2: np.ndarray, missed: np.ndarray, octaves: np.ndarray) -> None:
-        """hit1, hit2: which orders were right; missed: neither was."""
-        self.rate1[self.a1] = self.r1 + ((hit1 * np.int32(64000) - self.r1) >> 5)
-        self.rate2[self.a2] = self.r2 + ((hit2 * np.int32(64000) - self.r2) >> 5)
-        goal = _GOAL.take((hit2.view(np.int8) << 1) + hit1)
-        self.weight += (goal - self.weight >> 5) * (hit1 != hit2)
+    def update(self, ranks: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
+        """hit1, hit2: which orders were right."""
+        one, two = hit1.view(np.int8), hit2.view(np.int8)
+        self.weight += (_GOAL.take(two - one) - self.weight >> 5) * (hit1 != hit2)
         fresh = (ranks << 4).astype(np.int32)
-        for table, at, entry, sure, hit in ((self.table1, self.at1, self.e1, self.c1, hit1), (self.table2, self.at2, self.e2, self.c2, hit2)):
-            change = _CHANGE.take(sure + (hit.view(np.int8) << 4))
-            table[at] = np.where(change, entry + change, np.where(hit, entry, fresh))
-        step = (self.bound > octaves.astype(np.int8)) * np.int32(self.spare)
-        step -= self.shares
-        step >>= _SPEED
-        step *= missed.astype(np.int32)
-        self.shares += step
+        for table, at, entry, sure, hit in ((self.table1, self.at1, self.e1, self.c1, one), (self.table2, self.at2, self.e2, self.c2, two)):
+            case = sure + (hit << 4)
+            table[at] = np.where(case, entry + _CHANGE.take(case), fresh)
 
 
-_GOAL = np.array([0, 2048, 63488, 0])
+#: The weight's goal where order 2 alone is right (1) and where order 1 alone is (-1).
+_GOAL = np.array([0, 63488, 2048])
 #: Change of a confidence by itself and whether its guess was right; at 0 a wrong guess is replaced.
 _CHANGE = np.array([-((c + 1) >> 1) for c in range(16)] + [int(c < 15) for c in range(16)], np.int32)
 
@@ -136,8 +111,9 @@ def _encode(ranks: np.ndarray, counts: np.ndarray) -> list[bytes]:
     words = np.zeros(lanes * width, np.uint32)
     place = np.arange(lanes, dtype=np.int64) * width
     begin_of = place.copy()
-    columns = np.ascontiguousarray(ranks.T)
+    columns = np.ascontiguousarray(ranks.T).astype(np.int64)
     of = octave(np.arange(int(ranks.max()) + 1))
+    begins, ends, firsts = model.bounds[of], model.bounds[of + 1], (1 << of) - 1
     seen = np.zeros(lanes, np.int64)
 
     def shift(at: np.ndarray) -> None:
@@ -146,17 +122,16 @@ def _encode(ranks: np.ndarray, counts: np.ndarray) -> list[bytes]:
         low[at] = (now & _LOW44) << _U16
         place[at] = to + 1
 
-    for column in columns:
-        some = column.astype(np.int64)
+    for some in columns:
         second, first = model.predict(seen)
         hit2, hit1 = some == model.p2, some == model.p1
         missed = ~(hit1 | hit2)
         octaves = of.take(some) * missed
-        inner = (some + 1 - (1 << octaves)) * missed
+        inner = (some - firsts.take(some)) * missed
         both = second + first
-        from_, to = model.span_of(octaves, both, (1 << 16) - both)
-        begin = np.where(missed, from_, second * ~hit2)
-        size = np.where(missed, to, np.where(hit2, second, both)) - begin
+        rest = (1 << 16) - both
+        begin = np.where(missed, both + (rest * begins.take(some) >> 16), second * ~hit2)
+        size = np.where(missed, both + (rest * ends.take(some) >> 16), np.where(hit2, second, both)) - begin
         unit = span >> _U16
         low += unit * begin.view(np.uint64)
         span = unit * size.view(np.uint64) >> octaves.view(np.uint64)
@@ -167,7 +142,7 @@ def _encode(ranks: np.ndarray, counts: np.ndarray) -> list[bytes]:
             now = span.take(at) << _U16
             span[at] = now
             at = at[now <= _TOP]
-        model.update(some, hit1, hit2, missed, octaves)
+        model.update(some, hit1, hit2)
         seen = some
     every = np.arange(lanes)
     for _ in range(4):
@@ -197,6 +172,7 @@ def _decode(blocks: list[bytes], length: int, counts: np.ndarray) -> np.ndarray:
     place, last = row.copy(), row + next_.shape[1] - 1
     span = np.full(lanes, _SPAN, np.uint64)
     out, seen = np.empty((length, lanes), np.int32), np.zeros(lanes, np.int64)
+    holds = np.searchsorted(model.bounds[1:-1], np.arange((1 << 16) + 1), "right")  # the octave of each place in 2^16
     for t in range(length):
         second, first = model.predict(seen)
         both = second + first
@@ -204,10 +180,12 @@ def _decode(blocks: list[bytes], length: int, counts: np.ndarray) -> np.ndarray:
         unit = span >> _U16
         value = np.minimum(code // unit, np.uint64(65535)).view(np.int64)
         right2, missed = value < second, value >= both
-        octaves = model.find(value, both, rest) * missed
-        from_, to = model.span_of(octaves, both, rest)
-        begin = np.where(missed, from_, second * ~right2)
-        size = np.where(missed, to, np.where(right2, second, both)) - begin
+        # bounds b with both + (rest * b >> 16) <= value are passed; the quotient is exact below 2^33
+        passed = (((value - both + 1 << 16) - 1) / rest).astype(np.int64)
+        found = holds.take(passed, mode="clip")
+        octaves = found * missed
+        begin = np.where(missed, both + (rest * model.bounds.take(found) >> 16), second * ~right2)
+        size = np.where(missed, both + (rest * model.bounds.take(found + 1) >> 16), np.where(right2, second, both)) - begin
         code -= unit * begin.view(np.uint64)
         span = unit * size.view(np.uint64) >> octaves.view(np.uint64)
         inner = np.minimum((code // span).view(np.int64), (1 << octaves) - 1)
@@ -222,6 +200,6 @@ def _decode(blocks: list[bytes], length: int, counts: np.ndarray) -> np.ndarray:
             at = at[now <= _TOP]
         some = np.where(missed, (1 << octaves) - 1 + inner, np.where(right2, model.p2, model.p1))
         out[t] = some
-        model.update(some, some == model.p1, some == model.p2, missed, octaves)
+        model.update(some, some == model.p1, some == model.p2)
         seen = some
     return out.T.reshape(-1)

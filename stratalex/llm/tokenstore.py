@@ -34,27 +34,34 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import rangecoder
-from .base import SLICE_BYTES, pick, slices
+from .base import SLICE_BYTES, bound_batches, pick
 
-MAGIC, FORMAT, END_ID = b"SLT2", 2, 0
+MAGIC, FORMAT, END_ID = b"SLT2", 3, 0
 #: Ids after which a segment is closed.
 SEGMENT = rangecoder.LANES * rangecoder.BLOCK
 _HEAD = struct.Struct("<4sIIIIIQI")
 #: Parts remembered in each of two generations, and their longest; the older generation goes when the younger is full.
 GENERATION, REMEMBERED_CHARS = 1 << 19, 48
 #: White space but space and newline, and what some readings count as such.
-RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+_RARE = "[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
+#: Texts with white space that is rare, doubled or at an end.
+SPACED = "\\A | \\z|  | \n|\n |\n\n|" + _RARE
 #: A single space between two characters that are no white space in any reading.
 SPACE = re.compile("(?<=[^\\s\x1c-\x1f\u180e\u200b\ufeff]) (?=[^\\s\x1c-\x1f\u180e\u200b\ufeff])")
 #: Parts whose pre-tokens are plain: a newline, letters, marks.
 PLAIN = re.compile("([\n\r]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
-#: Pieces that one call of the library takes.
-CALL = 1024
+#: Parts that are a single pre-token of letters.
+WORD = re.compile("\r?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+#: Where a letter's pre-token ends for certain: at ASCII marks but the apostrophe.
+MARKED = "([A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\\[-`{-~])"
+#: Bytes of rows that are encoded in one pass.
+PASS_BYTES = 8 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -81,8 +88,8 @@ class Encoder:
         plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
         self.by_parts = plain and parts["model"]["type"] == "BPE" and not parts.get("normalizer") and not parts.get("truncation") and not parts.get("padding")
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.model, self.letters = Tokenizer(self.library.model), _byte_letters()
-        self.newline = self.model.token_to_id(self.letters[10])
+        self.letters = _byte_letters()
+        self.hidden = {chr(b): x for b, x in self.letters.items() if chr(b) != x}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -90,19 +97,20 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of single pre-tokens without newlines by the library's model, many in a call, with a newline after each."""
-        spelt = [x for p in pieces for x in (p.encode().decode("latin-1").translate(self.letters), self.letters[10])]
-        out = []
-        for made in self.model.encode_batch_fast([spelt[k : k + CALL] for k in range(0, len(spelt), CALL)], is_pretokenized=True, add_special_tokens=False):
-            ids = np.array(made.ids, np.uint32)
-            raw, ends = ids.tobytes(), np.flatnonzero(ids == self.newline).tolist()
-            out += [raw[4 * a : 4 * b] for a, b in zip([0, *[e + 1 for e in ends]], ends)]
-        return out
+        """Ids of single pre-tokens without newlines by the library's model, piece by piece: a call for many takes twice as long."""
+        joined, model = "\n".join(pieces).encode().decode("latin-1"), self.library.model.tokenize
+        for byte, letter in self.hidden.items():
+            if byte in joined:
+                joined = joined.replace(byte, letter)
+        return [array("I", [t.id for t in model(p)]).tobytes() for p in joined.split(self.letters[10])]
 
     def _learn(self, keys: set[str]) -> None:
         """Remembers the ids of parts."""
+        words = [k for k in keys if WORD(k)]
+        if words:
+            self.young.update(zip(words, self._pieces([_said(k) for k in words])))
         joined, pieces, others = {}, set(), []
-        for k in keys:
+        for k in keys.difference(words):
             if plain := PLAIN(k):
                 mark, word, after = plain.groups()
                 if not mark and not after:
@@ -123,39 +131,75 @@ class Encoder:
         again = self.old.keys() & pieces
         self.young.update((p, self.old[p]) for p in again)
         new = list(pieces.difference(again))
-        self.young.update(zip(new, self._pieces([_said(p) for p in new])))
+        if new:
+            self.young.update(zip(new, self._pieces([_said(p) for p in new])))
         self.young.update(zip(others, self._coded([_said(k) for k in others])))
         for k, parts in joined.items():
             self.young[k] = b"".join([self.young[p] for p in parts])
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as unsigned 32-bit integers, with the end id."""
-        end = array("I", [END_ID]).tobytes()
-        whole = [i for i, t in enumerate(texts) if t and (not self.by_parts or any(a in t for a in self.added))]
-        out = dict(zip(whole, self._coded([texts[i] for i in whole])))
-        split = {i: parts_of(t) for i, t in enumerate(texts) if t and i not in out}
-        needed = set().union(*split.values()).difference(self.young)
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part."""
+        needed = set(parts).difference(self.young)
         if needed:
             if len(self.young) > GENERATION:
                 self.old, self.young = self.young, {}
-                needed.update(*split.values())
+                needed = set(parts)
             again = self.old.keys() & needed
             self.young.update((p, self.old[p]) for p in again)
             self._learn(needed.difference(again))
-        known = self.young.__getitem__
-        made = [b"".join(map(known, split[i])) + end if i in split else out.get(i, b"") + end for i in range(len(texts))]
+        made = list(map(self.young.__getitem__, parts))
         for p in needed:
             if len(p) > REMEMBERED_CHARS:
                 del self.young[p]
         return made
 
+    def _simple(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """coded() of texts with single spaces and newlines inside alone, in columns."""
+        texts = pc.replace_substring(pc.binary_join_element_wise("\r", texts, ""), "\n", " \n \r")
+        split = pc.split_pattern(pc.replace_substring_regex(texts, MARKED, "\\1 \r\\2"), " ")
+        parts = split.flatten().dictionary_encode()
+        known = self._known(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, sizes = np.frombuffer(b"".join(known), np.uint32), np.fromiter(map(len, known), np.int64, len(known)) >> 2
+        begins, at = np.cumsum(sizes) - sizes, np.asarray(parts.indices)
+        size = sizes.take(at)
+        ends = np.cumsum(size)
+        ids = ids.take(np.repeat(begins.take(at) - ends + size, size) + np.arange(int(ends[-1])))
+        last = ends[np.cumsum(np.asarray(pc.list_value_length(split))) - 1]
+        return np.insert(ids, last, END_ID), np.diff(last, prepend=0) + 1
+
+    def coded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, unsigned 32-bit integers with the end id after each text, and how many each text has."""
+        texts = pc.fill_null(texts, "")
+        other = pc.or_(pc.equal(texts, ""), pc.match_substring_regex(texts, SPACED)) if self.by_parts else pa.array([True] * len(texts))
+        for added in self.added:
+            other = pc.or_(other, pc.match_substring(texts, added))
+        other = np.asarray(other.cast(pa.uint8())).view(bool)
+        if len(texts) and not other.any():
+            return self._simple(texts)
+        rare = texts.filter(pa.array(other)).to_pylist()
+        whole = [t for t in rare if t and (not self.by_parts or any(a in t for a in self.added))]
+        made = dict(zip(whole, self._coded(whole)))
+        end = array("I", [END_ID]).tobytes()
+        raw = [made[t] if t in made else b"".join(self._known(parts_of(t))) if t else b"" for t in rare]
+        counts, ids = np.zeros(len(texts), np.int64), [np.frombuffer(r + end, np.uint32) for r in raw]
+        counts[other] = [len(x) for x in ids]
+        if len(rare) < len(texts):
+            simple, counts[~other] = self._simple(texts.filter(pa.array(~other)))
+            split = iter(np.split(simple, np.cumsum(counts[~other])[:-1]))
+            rest = iter(ids)
+            ids = [next(rest if o else split) for o in other.tolist()]
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), counts
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as unsigned 32-bit integers, with the end id."""
+        ids, counts = self.coded(pa.array(texts, pa.string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
+
 
 def parts_of(text: str) -> list[str]:
-    """A text as parts that no pre-token crosses: "\r" and the first, "\n" and one after a newline, or one after a space, without it."""
-    if text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or RARE_SPACE.search(text):
-        parts = SPACE.split(text)
-    else:
-        parts = text.replace("\n", " \n").split(" ")
+    """A text as parts that no pre-token crosses: "\r" and the first, or one after a space, without it. Encoder._simple has more
+    of them: a newline, "\r" and what follows it, and "\r" and marks after a letter."""
+    parts = SPACE.split(text)
     parts[0] = "\r" + parts[0]
     return parts
 
@@ -171,7 +215,11 @@ def encoder(path: str) -> Encoder:
 
 def pack(doc_ids: list[int | None], texts: list[bytes]) -> bytes:
     """One segment from documents' ids, unsigned 32-bit integers."""
-    ids = np.frombuffer(b"".join(texts), np.uint32)
+    return pack_ids(doc_ids, np.array([len(t) // 4 for t in texts], "<u4"), np.frombuffer(b"".join(texts), np.uint32))
+
+
+def pack_ids(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray) -> bytes:
+    """One segment: counts of ids of the documents, and all ids in order."""
     length = rangecoder.block_length(len(ids))
     found, place = _distinct(ids)
     ranks = place.take(ids) if len(found) else np.zeros(0, np.int32)
@@ -181,7 +229,7 @@ def pack(doc_ids: list[int | None], texts: list[bytes]) -> bytes:
     table = b"".join([
         np.array([i or 0 for i in doc_ids], "<i8").tobytes(),
         bytes(i is None for i in doc_ids),
-        np.array([len(t) // 4 for t in texts], "<u4").tobytes(),
+        counts.astype("<u4").tobytes(),
         np.array([len(b) for b in blocks], "<u4").tobytes(),
         np.array(sums, "<u4").tobytes(),
         np.pad(octaves, (0, rangecoder.OCTAVES - len(octaves))).astype("<u4").tobytes(),
@@ -226,30 +274,39 @@ def unpack(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 
 def write(documents: DataFrame, path: str, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> None:
     """Writes the ids of every document to `path`. Equal doc_ids are dealt out by their texts, so none makes a partition hot."""
+    bound_batches(documents.sparkSession)
     rows = pick(documents, doc_id=doc_id, text=text).withColumn("h", F.xxhash64("text"))
     rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
 
     def run(batches):
         shard, segment, before = TaskContext.get().partitionId(), 0, 0
-        held_ids, held, size = [], [], 0
+        held_ids, held_counts, held, size = [], [], [], 0
 
         def close() -> pa.RecordBatch:
-            payload = pack(held_ids, held)
+            payload = pack_ids(held_ids, np.concatenate(held_counts), np.concatenate(held))
             row = [[shard], [segment], [before], [len(held_ids)], [size], [payload]]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["shard", "segment", "before", "n_docs", "n_ids", "payload"])
 
         for batch in batches:
-            for part in slices(batch):
-                made = encoder(vocabulary)(part.column(1).to_pylist())
-                for i, packed in zip(part.column(0).to_pylist(), made):
-                    held_ids.append(i)
-                    held.append(packed)
-                    size += len(packed) // 4
+            step = max(1, PASS_BYTES * batch.num_rows // max(1, batch.nbytes))
+            for k in range(0, batch.num_rows, step):
+                doc_ids, texts = batch.column(0).slice(k, step).to_pylist(), batch.column(1).slice(k, step)
+                ids, counts = encoder(vocabulary).coded(texts)
+                ends = np.cumsum(counts)
+                first = done = 0
+                while first < len(counts):  # a segment ends with the document that fills it
+                    last = min(int(np.searchsorted(ends, done + SEGMENT - size)) + 1, len(counts))
+                    upto = int(ends[last - 1])
+                    held_ids += doc_ids[first:last]
+                    held_counts.append(counts[first:last])
+                    held.append(ids[done:upto])
+                    size += upto - done
+                    first, done = last, upto
                     if size >= SEGMENT:
                         yield close()
                         segment, before = segment + 1, before + size
-                        held_ids, held, size = [], [], 0
+                        held_ids, held_counts, held, size = [], [], [], 0
         if held:
             yield close()
 

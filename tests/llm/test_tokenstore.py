@@ -44,6 +44,24 @@ def test_encoder_equals_the_library(library):
         assert [array("I", x).tolist() for x in made(texts)] == [library.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
 
 
+def test_texts_are_cut_at_marks_as_the_library_cuts(library):
+    """Whole columns: words are learned without the marks after them, and simple, spaced, added-token, blank and null texts keep their order."""
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    parts = [" ", " ", "\n", "a", "Word", "Éa", "ñ", "ß", "×", "÷", "7", "'s", "'", "!", ",", ".;", "$$$", "_", "[x]", "~", "\u0301", "日本", "\U0001f600", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts[: rng.choice([-1, len(parts)])]) for _ in range(rng.randint(0, 12))) for _ in range(8000)]
+    made = tokenstore.Encoder(public_tokenizers.path(queries.TOKENIZER))
+    want = [library.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    for k, step in ((0, 8000), (1000, 1), (2000, 300)):
+        ids, counts = made.coded(pa.array([None, *texts[k : k + step]], pa.string()))
+        assert counts.tolist() == [1, *map(len, want[k : k + step])] and ids.tolist() == [0, *(i for w in want[k : k + step] for i in w)]
+    simple = ["End.", "a,b c!", "x\ny"]
+    made = tokenstore.Encoder(public_tokenizers.path(queries.TOKENIZER))
+    made.coded(pa.array(simple))
+    assert {"\rEnd", "\r.", "\ra", "\r,b", "c", "\r!", "\rx", "\n", "\ry"} == set(made.young)
+
+
 def test_generations_of_remembered_parts(library, monkeypatch):
     monkeypatch.setattr(tokenstore, "GENERATION", 5)
     made = tokenstore.Encoder(public_tokenizers.path(queries.TOKENIZER))
