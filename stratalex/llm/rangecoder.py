@@ -2,11 +2,11 @@
 
 Ids are coded as ranks: the caller numbers the ids of a segment from the most frequent on, so any vocabulary fits. Ranks
 are cut into blocks of equal length; each block starts from the same fresh model, so any block can be read alone. Many
-blocks advance together, one rank each a step, as lanes of NumPy arrays; arithmetic is on integers only, so that every
-machine decodes alike.
+blocks advance together, one rank each a step, as lanes of NumPy arrays; arithmetic is on integers, but for a division of
+doubles whose whole part is exact, so that every machine decodes alike.
 
-A step codes one rank. Order 2 and order 1 each predict a rank from a hashed context, with an adaptive confidence; what is known
-of each confidence is mixed by an adaptive weight into the shares of "order 2 is right" and "order 1 is right". The rest of
+A step codes one rank. Order 2 and order 1 each predict a rank from a hashed context, with an adaptive confidence; the hit
+rates of their confidences are mixed by an adaptive weight into the shares of "order 2 is right" and "order 1 is right". The rest of
 the interval goes to order 0: the segment's frequencies of the octaves of ranks (0, 1-2, 3-6, 7-14, ...), each cut evenly among
 its ranks. The range coder keeps 60 bits and moves whole 16-bit words; carries are added to the words before at the end.
 """
@@ -25,10 +25,9 @@ _U16, _U44 = np.uint64(16), np.uint64(44)
 _TOP, _LOW44, _SPAN = np.uint64(1 << 44), np.uint64((1 << 44) - 1), np.uint64(1 << 60)
 #: Least share of an octave, of 2^16.
 _LEAST = 96
-#: Hit rate of a confidence, of 2^16: where the orders differ, then where they agree. With a weight between 2048 and 63488, a
-#: share is 64 or more, and those of both orders are 2^16 times 60000/65536 at most.
+#: Hit rate of a confidence, of 2^16. With a weight between 2048 and 63488, a share is 128 or more, and those of both
+#: orders are 2^16 times 60000/65536 at most.
 _RATE = np.minimum(4096 + 3600 * np.arange(16), 60000)
-_RATE = np.concatenate([_RATE // 2, _RATE])
 
 
 def octave(ranks: np.ndarray) -> np.ndarray:
@@ -60,26 +59,22 @@ class _Model:
         self.p1, self.p2 = self.e1 >> 4, self.e2 >> 4
         self.c1, self.c2 = self.e1 & 15, self.e2 & 15
         agree = (self.p1 == self.p2).view(np.int8)
-        flag = agree << 4
-        second = self.weight * _RATE.take(self.c2 + flag) >> 16
-        first = ((1 << 16) - self.weight) * _RATE.take(self.c1 + flag) >> 16
+        second = self.weight * _RATE.take(self.c2) >> 16
+        first = ((1 << 16) - self.weight) * _RATE.take(self.c1) >> 16
         shared = agree * first
         return second + shared, first - shared
 
     def update(self, ranks: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
         """hit1, hit2: which orders were right."""
         one, two = hit1.view(np.int8), hit2.view(np.int8)
-        self.weight += (_GOAL.take(two - one) - self.weight >> 5) * (hit1 != hit2)
+        self.weight += _PULL.take(two - one) - (self.weight * (hit1 != hit2) >> 5)
         fresh = (ranks << 4).astype(np.int32)
-        for table, at, entry, sure, hit in ((self.table1, self.at1, self.e1, self.c1, one), (self.table2, self.at2, self.e2, self.c2, two)):
-            case = sure + (hit << 4)
-            table[at] = np.where(case, entry + _CHANGE.take(case), fresh)
+        for table, at, entry, sure, hit in ((self.table1, self.at1, self.e1, self.c1, hit1), (self.table2, self.at2, self.e2, self.c2, hit2)):
+            table[at] = np.where(hit, entry + (sure < 15), fresh)  # a wrong guess is replaced
 
 
-#: The weight's goal where order 2 alone is right (1) and where order 1 alone is (-1).
-_GOAL = np.array([0, 63488, 2048])
-#: Change of a confidence by itself and whether its guess was right; at 0 a wrong guess is replaced.
-_CHANGE = np.array([-((c + 1) >> 1) for c in range(16)] + [int(c < 15) for c in range(16)], np.int32)
+#: What draws the weight, less a 32nd of itself, to 63488 where order 2 alone is right (1) and to 2048 where order 1 alone is (-1).
+_PULL = np.array([0, 63488, 2048]) >> 5
 
 
 def block_length(n: int) -> int:
@@ -168,8 +163,7 @@ def _decode(blocks: list[bytes], length: int, counts: np.ndarray) -> np.ndarray:
         words[i, : len(b) // 2] = np.frombuffer(b, "<u2")
     code = words[:, 0].astype(np.uint64) << _U44 | words[:, 1].astype(np.uint64) << np.uint64(28) | words[:, 2].astype(np.uint64) << np.uint64(12) | words[:, 3].astype(np.uint64) >> np.uint64(4)
     next_ = ((words[:, 3:-1] & np.uint16(15)) << np.uint16(12) | words[:, 4:] >> np.uint16(4)).astype(np.uint64)  # 60 bits are held at once
-    flat, row = next_.reshape(-1), np.arange(lanes, dtype=np.int64) * next_.shape[1]
-    place, last = row.copy(), row + next_.shape[1] - 1
+    flat, place = next_.reshape(-1), np.arange(lanes, dtype=np.int64) * next_.shape[1]
     span = np.full(lanes, _SPAN, np.uint64)
     out, seen = np.empty((length, lanes), np.int32), np.zeros(lanes, np.int64)
     holds = np.searchsorted(model.bounds[1:-1], np.arange((1 << 16) + 1), "right")  # the octave of each place in 2^16
@@ -190,10 +184,10 @@ def _decode(blocks: list[bytes], length: int, counts: np.ndarray) -> np.ndarray:
         span = unit * size.view(np.uint64) >> octaves.view(np.uint64)
         inner = np.minimum((code // span).view(np.int64), (1 << octaves) - 1)
         code -= span * inner.view(np.uint64)
-        at = np.flatnonzero(span <= _TOP)
+        at = np.flatnonzero(span <= _TOP)  # a damaged lane may read on in others; checksums tell
         while len(at):
             from_at = place.take(at)
-            code[at] = code.take(at) << _U16 | flat.take(np.minimum(from_at, last.take(at)))
+            code[at] = code.take(at) << _U16 | flat.take(from_at, mode="clip")
             place[at] = from_at + 1
             now = span.take(at) << _U16
             span[at] = now

@@ -47,7 +47,7 @@ MAGIC, FORMAT, END_ID = b"SLT2", 3, 0
 SEGMENT = rangecoder.LANES * rangecoder.BLOCK
 _HEAD = struct.Struct("<4sIIIIIQI")
 #: Parts remembered in each of two generations, and their longest; the older generation goes when the younger is full.
-GENERATION, REMEMBERED_CHARS = 1 << 19, 48
+GENERATION, REMEMBERED_CHARS = 3 << 18, 48
 #: White space but space and newline, and what some readings count as such.
 _RARE = "[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
 #: Texts with white space that is rare, doubled or at an end.
